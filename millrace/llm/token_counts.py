@@ -11,6 +11,7 @@ stays, and columns with clashing names pass through unread.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import public_tokenizers
@@ -81,6 +82,19 @@ def _frequencies(path, head):
     return run
 
 
+def _least(pieces: DataFrame, head: int) -> int:
+    """The least frequency that at most `head` pre-tokens reach, to an eighth of a power of two."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    bins = {r["b"]: r["count"] for r in pieces.groupBy(step.alias("b")).count().collect()}
+    room, least = head, max(bins, default=0) + 1
+    for b in sorted(bins, reverse=True):
+        room -= bins[b]
+        if room < 0:
+            break
+        least = b
+    return max(1, math.ceil(2 ** (least / 8) - 1e-9))
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, head: int = HEAD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_tokens, over_limit."""
     spark = docs.sparkSession
@@ -90,7 +104,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, head: int =
     seen = docs.select("text").mapInArrow(_vocabulary(tokenizer), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = stash.put(seen)
     counted = pieces.select("piece").mapInArrow(_piece_counts(tokenizer), "piece string, k int")
-    top = pieces.orderBy(F.desc("n"), "piece").limit(head).select("piece").collect()
+    top = pieces.filter(F.col("n") >= _least(pieces, head)).select("piece").collect()
     tok = shared(tokenizer)
     words = [r[0] for r in top]
     known = spark.sparkContext.broadcast(dict(zip(words, map(len, tok.encode_pieces(words)), strict=True)))
