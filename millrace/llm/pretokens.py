@@ -22,8 +22,8 @@ ODD = re.compile("[^\x00-\x1b\x20-ɏ‐-‧‰-⁞€]")
 class PreTokens:
     """Splitter and cached encoder over a tokenizers file; one per Python worker."""
 
-    #: Distinct pre-tokens kept; on reaching it the cache starts anew, which costs time and nothing else.
-    KEEP = 400_000
+    #: Distinct pre-tokens of a generation; two are kept, and one that is full becomes the old one.
+    KEEP = 250_000
 
     def __init__(self, path: str):
         import os
@@ -33,7 +33,8 @@ class PreTokens:
 
         self.lib = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.cache: dict[str, array.array] = {}
+        self.cache: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
 
     def plain(self, text: str) -> bool:
         return not (any(s in text for s in self.specials) or ODD.search(text))
@@ -59,12 +60,18 @@ class PreTokens:
         cache = self.cache
         fresh = [p for p in set(pieces) if p not in cache]
         if fresh:
-            if len(cache) + len(fresh) > self.KEEP:
-                cache.clear()
-                fresh = list(set(pieces))
-            cache.update(zip(fresh, self.encode_pieces(fresh), strict=True))
+            if len(cache) > self.KEEP:
+                self.old, self.cache = cache, {}
+                cache, fresh = self.cache, list(set(pieces))
+            self._learn(fresh)
         return array.array("I", chain.from_iterable(map(cache.__getitem__, pieces)))
 
+    def _learn(self, pieces: list[str]) -> None:
+        old = self.old
+        self.cache.update((p, old[p]) for p in pieces if p in old)
+        fresh = [p for p in pieces if p not in old]
+        self.cache.update(zip(fresh, self.encode_pieces(fresh), strict=True))
+
 
 _made: dict[str, PreTokens] = {}
 

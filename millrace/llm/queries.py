@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from millrace.llm.packing import op9_packing
+from millrace.llm.quality_rules import op6_quality_rules
 from millrace.llm.token_counts import op10_token_counts
+from millrace.llm.token_output import op4_token_output
+from millrace.llm.toxicity import op8_toxicity
 from millrace.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op4_token_output": op4_token_output,
+    "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
+    "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
 }
 
