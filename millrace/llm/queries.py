@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.metric_topk import OP2_SQL, op2_metric_topk
 from millrace.llm.packing import op9_packing
 from millrace.llm.quality_rules import op6_quality_rules
 from millrace.llm.token_counts import op10_token_counts
@@ -10,6 +11,7 @@ from millrace.llm.toxicity import op8_toxicity
 from millrace.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op2_metric_topk": op2_metric_topk,
     "op4_token_output": op4_token_output,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
@@ -18,4 +20,4 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE = {"op7_url_filter": OP7_SQL}
+ORACLE = {"op2_metric_topk": OP2_SQL, "op7_url_filter": OP7_SQL}
