@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.metric_topk import OP2_SQL, op2_metric_topk
+from millrace.llm.near_dedup import op3_near_dedup
 from millrace.llm.packing import op9_packing
 from millrace.llm.quality_rules import op6_quality_rules
 from millrace.llm.token_counts import op10_token_counts
@@ -11,6 +12,7 @@ from millrace.llm.toxicity import op8_toxicity
 from millrace.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op3_near_dedup": op3_near_dedup,
     "op2_metric_topk": op2_metric_topk,
     "op4_token_output": op4_token_output,
     "op6_quality_rules": op6_quality_rules,
