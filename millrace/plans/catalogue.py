@@ -2,15 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from millrace.plans import q_aggregates, q_grades, q_graph_text_space, q_joins, q_streams  # noqa: F401
+from millrace.plans.registry import ORACLE, QUERIES
 
-from millrace.session import load
-
-
-def d1_content_dedup(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("sha"), "n_chars", "doc_id")
-    return d.groupBy("sha").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
-
-
-QUERIES = {"d1_content_dedup": d1_content_dedup}
-ORACLE = {"d1_content_dedup": "SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS keep_id FROM documents GROUP BY 1"}
+__all__ = ["ORACLE", "QUERIES"]
