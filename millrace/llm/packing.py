@@ -32,16 +32,15 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 def _cut(path, size, end_id):
     def run(batches):
-        tok = shared(path)
+        tok, end = shared(path), end_id.to_bytes(4, "little")
         for b in batches:
             rows = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = tok.ids(text or "")
-                ids.append(end_id)
-                raw = np.frombuffer(ids, dtype="<u4").tobytes()
-                for at in range(0, len(ids), size):
-                    n = min(size, len(ids) - at)
-                    for k, v in zip(rows, (doc_id, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)]), len(ids)), strict=True):
+            for doc_id, raw in zip(b.column("doc_id").to_pylist(), tok.column(b.column("text")), strict=True):
+                raw = raw.tobytes() + end
+                ids = len(raw) // 4
+                for at in range(0, ids, size):
+                    n = min(size, ids - at)
+                    for k, v in zip(rows, (doc_id, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)]), ids), strict=True):
                         rows[k].append(v)
             yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in rows.items()})
 

@@ -49,7 +49,7 @@ def _piece_counts(path):
         tok = shared(path)
         for b in batches:
             pieces = b.column("piece").to_pylist()
-            yield pa.RecordBatch.from_pydict({"piece": b.column("piece"), "k": pa.array([len(x) for x in tok.encode_pieces(pieces)], pa.int32())})
+            yield pa.RecordBatch.from_pydict({"piece": b.column("piece"), "k": pa.array([len(x) // 4 for x in tok.encode_pieces(pieces)], pa.int32())})
 
     return run
 
@@ -107,7 +107,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, head: int =
     top = pieces.filter(F.col("n") >= _least(pieces, head)).select("piece").collect()
     tok = shared(tokenizer)
     words = [r[0] for r in top]
-    known = spark.sparkContext.broadcast(dict(zip(words, map(len, tok.encode_pieces(words)), strict=True)))
+    known = spark.sparkContext.broadcast(dict(zip(words, (len(x) // 4 for x in tok.encode_pieces(words)), strict=True)))
     rows = stash.put(docs.mapInArrow(_frequencies(tokenizer, known), "doc_id long, n_bytes long, done long, tail array<struct<piece string, n int>>").withColumn("row", F.monotonically_increasing_id()))
     tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.piece", "t.n")
     sums = tail.join(counted, "piece").groupBy("row").agg(F.sum(F.col("n").cast("long") * F.col("k")).alias("more"))

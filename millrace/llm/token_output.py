@@ -120,10 +120,8 @@ def _pack(path, size, end_id, pad_id, window, dtype):
                 yield rows_of(out[at : at + 512])
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = tok.ids(text or "")
-                ids.append(end_id)
-                ids = np.frombuffer(ids, dtype="<u4").astype(dtype)
+            for doc_id, raw in zip(b.column("doc_id").to_pylist(), tok.column(b.column("text")), strict=True):
+                ids = np.append(raw, np.uint32(end_id)).astype(dtype)
                 for at in range(0, len(ids), size):
                     pieces.append((doc_id, at, ids[at : at + size], len(ids)))
                 held += len(ids)
