@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.columns import packed, unpacked
 from millrace.llm.components import components, in_blocks
 from millrace.session import Stash
 
@@ -35,6 +36,9 @@ BANDS, ROWS = 20, 3
 #: Members of a bucket that meet in one block.
 BLOCK = 1024
 
+#: Darts, about, that are thrown at once: short texts take as many as long ones.
+CHUNK = 300_000
+
 _ONE = np.uint64(1)
 
 
@@ -170,9 +174,9 @@ def _sign(bands, rows, width, weighted):
             at = 0
             while at < len(texts):
                 part, size, to = [], 0, at
-                while to < len(texts) and (size < 100_000 or to == at):
+                while to < len(texts) and (size < CHUNK or to == at):
                     part.append(texts[to].split())
-                    size += len(part[-1])
+                    size += 3 * len(part[-1]) + 5 * bands * rows * int(math.log(bands * rows) + 2)
                     to += 1
                 own = [i for i, words in enumerate(part) if words]
                 if own:
@@ -302,8 +306,9 @@ def drop_near_duplicates(spark, docs, sf_dir):
     found = classes(docs, stash)
     # The text that holds the class's least id; between equals, the least key.
     chosen = stash.put(found.groupBy("class_key").agg(F.min(F.struct(F.col("first_id").isNull().alias("x"), "first_id", "key")).alias("m")).select(F.col("m.key").alias("_key")))
-    keyed = docs.withColumn("_key", F.unhex(F.md5("text")))
+    keyed = packed(docs).withColumn("_key", F.unhex(F.md5("text")))
     wordless = F.col("text").isNull() | (F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+", "") == "")
     kept = keyed.filter(~wordless).join(chosen, "_key")
-    first = kept.groupBy("_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_x"), "doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")], "text")).alias("m"))
-    return first.select(*[F.col(f"m.{c}").alias(c) for c in docs.columns]).unionByName(docs.filter(wordless))
+    first = kept.groupBy("_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_x"), "doc_id", "_rest", "text")).alias("m"))
+    rows = first.select("m.doc_id", "m.text", "m._rest").unionByName(keyed.filter(wordless).drop("_key"))
+    return unpacked(rows, docs.columns)
