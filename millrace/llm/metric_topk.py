@@ -30,11 +30,11 @@ from millrace.session import Stash
 
 K = 5
 #: Rows in a shard at most (about), entries of a page, queries in a block, and rows sampled for pivots and first thresholds.
-SHARD, PAGE, BLOCK, SAMPLE = 16_384, 64, 256, 512
+SHARD, PAGE, BLOCK, SAMPLE = 16_384, 256, 256, 512
 
 
 class MTree:
-    """Bulk-loaded pages over integer vectors. Distances are kept a little large, so bounds stay valid in floating point."""
+    """Bulk-loaded pages over integer vectors (of moderate size: norms times norms below 2 ** 62). Distances are kept a little large, so bounds stay valid in floating point."""
 
     SLACK = 1e-6
 
@@ -43,7 +43,9 @@ class MTree:
         self.pages: list[tuple] = []  # (leaf?, centres or vectors, radii or ids, distance to this page's centre, child pages)
         self.root = None
         if len(ids):
-            x = x.astype(np.int64)
+            # Sums of products below 2 ** 53 are exact as doubles, and faster.
+            self.top = float(np.abs(x.astype(float)).max(initial=0)) * x.shape[1]
+            x = x.astype(float if self.top**2 < 2.0**52 else np.int64)
             centre = self._medoid(x)
             self.root = (centre, self._far(x, centre), self._build(ids, x, centre))
 
@@ -62,7 +64,7 @@ class MTree:
         at = len(self.pages)
         self.pages.append(())
         if len(ids) <= self.page:
-            self.pages[at] = (True, x.astype(np.int32), ids, self._dist(x, centre), None)
+            self.pages[at] = (True, x, ids, self._dist(x, centre), None)
             return at
         n = min(self.page, -(-len(ids) // self.page))
         pivots = self._pivots(x, max(2, n))
@@ -77,7 +79,7 @@ class MTree:
             c = self._medoid(x[g])
             centres.append(c), radii.append(self._far(x[g], c)), child.append(self._build(ids[g], x[g], c))
         centres = np.array(centres)
-        self.pages[at] = (False, centres.astype(np.int32), np.array(radii), self._dist(centres, centre), child)
+        self.pages[at] = (False, centres, np.array(radii), self._dist(centres, centre), child)
         return at
 
     @staticmethod
@@ -90,7 +92,8 @@ class MTree:
         best: list[tuple[int, int]] = []  # a heap of (score, -id)
         if self.root is None:
             return []
-        q = q.astype(np.int64)
+        kind = self.root[0].dtype if self.top * float(np.abs(q.astype(float)).max(initial=0)) < 2.0**52 else np.dtype(np.int64)
+        q = q.astype(kind)
         norm = float(np.sqrt(float((q * q).sum()))) * (1 + self.SLACK)
         limit = lambda: max(floor, best[0][0]) if len(best) == k else floor
         centre, radius, root = self.root
@@ -100,15 +103,21 @@ class MTree:
             if -bound < limit() - self.SLACK:
                 break
             leaf, rows, other, apart, child = self.pages[at]
+            rows = rows.astype(kind, copy=False)
             # Stored distances first: entries they rule out cost no inner product.
             ahead = dot + norm * (apart if leaf else apart + other) >= limit() - self.SLACK
             if not ahead.any():
                 continue
             left = np.flatnonzero(ahead)
-            score = rows[left] @ q
+            score = rows @ q if 2 * len(left) > len(rows) else rows[left] @ q
+            if len(score) > len(left):
+                score = score[left]
             if leaf:
                 ids = other[left]
-                for i in np.flatnonzero((score >= limit()) & (ids != own)):
+                good = np.flatnonzero((score >= limit()) & (ids != own))
+                if len(good) > k:  # the k best of the page, ties to smaller ids
+                    good = good[np.lexsort((ids[good], -score[good]))[:k]]
+                for i in good:
                     entry = (int(score[i]), -int(ids[i]))
                     if len(best) < k:
                         heapq.heappush(best, entry)
