@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.columns import packed, unpacked
 from millrace.llm.learning import labelled_sample
 from millrace.session import Stash
 
@@ -123,40 +124,70 @@ def with_posteriors(docs: DataFrame, model: Softmax, carry: list[str]) -> DataFr
     return docs.select(*names).mapInArrow(run, f"{schema}, n long, p array<double>" if carry else "n long, p array<double>")
 
 
-def _rate(steps: list[list[float]], start: float, pull: float, eta: float):
-    """The rate after these steps: from `start`, down the gradient in the tokens' metric, and never below 0."""
-    if not steps:
-        return F.lit(float(start))
-    table = F.array(*(F.array(*(F.lit(float(v)) for v in g)) for g in steps))
-    dot = lambda g: F.aggregate(F.zip_with(g, "p", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    step = lambda r, g: F.greatest(F.lit(0.0), r - eta * (dot(g) + pull * (r - start)))
-    return F.when(F.col("n") > 0, F.aggregate(table, F.lit(float(start)), step)).otherwise(F.lit(float(start)))
+def rates_of(n: np.ndarray, p: np.ndarray, steps: list[np.ndarray], start: float, pull: float, eta: float) -> np.ndarray:
+    """The rates after these steps: from `start`, down the gradient in the tokens' metric, and never below 0."""
+    r = np.full(len(n), float(start))
+    for g in steps:
+        r = np.maximum(0.0, r - eta * (p @ g + pull * (r - start)))
+    return np.where(n > 0, r, float(start))
+
+
+def _columns(b, k):
+    return b.column("n").to_numpy().astype(float), b.column("p").flatten().to_numpy().reshape(-1, k)
+
+
+def _totals(k, state):
+    def run(batches):
+        steps, start, pull, eta = state.value
+        total = np.zeros(k)
+        for b in batches:
+            n, p = _columns(b, k)
+            total += (rates_of(n, p, steps, start, pull, eta) * n) @ p
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], [f"d{i}" for i in range(k)])
+
+    return run
+
+
+def _with_rates(k, state, names):
+    def run(batches):
+        for b in batches:
+            n, p = _columns(b, k)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(rates_of(n, p, *state.value))], [*names, "rate"])
+
+    return run
 
 
 def solve_rates(rows: DataFrame, targets: tuple[float, ...], steps: int = STEPS, pull: float = PULL, start: float = 1.0, total: float | None = None, anchor: int | None = None):
-    """(rate column over n and p, domain totals before, targets in tokens, domain totals after).
+    """`rows` (with n and p) with the rate, and the domains' totals before, wanted and after.
 
-    `rows` has n and p and is read once for each step. total: expected tokens wanted in all (as many as there are). anchor: take
-    the total that lets this domain keep its tokens.
+    `rows` is read once for each step; a step sends one number per domain from each task. total: expected tokens wanted in all (as many as
+    there are). anchor: take the total that lets this domain keep its tokens.
     """
-    k = len(targets)
-    sums = lambda r: [F.coalesce(F.sum(r * F.col("n") * F.element_at("p", i + 1)), F.lit(0.0)).alias(f"d{i}") for i in range(k)]
-    now = np.array(rows.agg(*sums(F.lit(float(start)))).first(), float)
+    k, context = len(targets), rows.sparkSession.sparkContext
+
+    def sums(state):
+        parts = rows.select("n", "p").mapInArrow(_totals(k, context.broadcast(state)), ", ".join(f"d{i} double" for i in range(k)))
+        return np.array([v or 0.0 for v in parts.agg(*(F.sum(f"d{i}") for i in range(k))).first()])
+
+    done: list[np.ndarray] = []
+    now = sums((done, start, pull, 1.0))
     weights = np.array(targets) / sum(targets)
     if anchor is not None and weights[anchor] > 0:
         total = now[anchor] / weights[anchor]
     goal = weights * (now.sum() if total is None else total)
     scale = np.maximum(goal, 1e-9 * max(1.0, now.sum()))
-    before, done = now, []
+    before = now
     # The matrix of second derivatives in the tokens' metric is at most the largest share over target.
     eta = 1.0 / (float(np.max(np.maximum(now, goal) / scale)) + pull)
     for _ in range(steps):
         gap = (now - goal) / scale
         if np.abs(gap).max() < 1e-3:
             break
-        done.append(gap.tolist())
-        now = np.array(rows.agg(*sums(_rate(done, start, pull, eta))).first(), float)
-    return _rate(done, start, pull, eta), before, goal, now
+        done = [*done, gap]
+        now = sums((done, start, pull, eta))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    out = rows.mapInArrow(_with_rates(k, context.broadcast((done, start, pull, eta)), rows.columns), f"{schema}, rate double")
+    return out, before, goal, now
 
 
 def mix(docs: DataFrame, labels: DataFrame, label: str = "quality", targets=TARGETS, rows: int = TRAIN_ROWS, carry=("doc_id",), anchor: int | None = None, total: float | None = None, stash: Stash | None = None) -> DataFrame:
@@ -164,8 +195,7 @@ def mix(docs: DataFrame, labels: DataFrame, label: str = "quality", targets=TARG
     stash = stash or Stash(docs.sparkSession, "mixing")
     model = fit_domains(docs, labels, label, len(targets), rows)
     known = stash.put(with_posteriors(docs, model, list(carry)))
-    rate, _, _, _ = solve_rates(known.select("n", "p"), targets, anchor=anchor, total=total)
-    return known.withColumn("rate", rate)
+    return solve_rates(known, targets, anchor=anchor, total=total)[0]
 
 
 def op1_mixing(spark, sf_dir):
@@ -182,7 +212,7 @@ def mix_stage(spark, docs, sf_dir):
     document stays if a hash of its id is below its rate: always at 1 or more. A sample by rate is what mixing is.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    out = mix(docs, labels, carry=tuple(docs.columns), anchor=1)
+    out = mix(packed(docs), labels, carry=("doc_id", "text", "_rest"), anchor=1)
     u = F.conv(F.substring(F.sha2(F.concat(F.lit("mix|"), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))), 256), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     clean = F.element_at("p", 2) >= 0.5
-    return out.filter(clean | (u < F.col("rate"))).select(*docs.columns)
+    return unpacked(out.filter(clean | (u < F.col("rate"))), docs.columns)
