@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import ahocorasick
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.columns import packed, unpacked
 from millrace.llm.learning import labelled_sample, logistic
 from millrace.session import Stash
 
@@ -29,8 +31,6 @@ from millrace.session import Stash
 TRAIN_ROWS = 20_000
 #: Terms considered and entries kept at most; both bounds keep what is broadcast small.
 CANDIDATES, ENTRIES = 20_000, 500
-#: Toxic training texts that an entry must add to those already explained.
-SUPPORT = 4
 #: Least log odds of an entry, and lengths of stems.
 LEAST, STEMS = 3.0, (4, 5, 6, 8)
 
@@ -78,21 +78,42 @@ def _term_counts(wanted=None):
     return run
 
 
-def _terms_in(wanted):
+def _contexts(wanted):
+    """(term, a hash of the word before) of the wanted terms' finds."""
+
     def run(batches):
-        order = {t: i for i, t in enumerate(wanted.value)}
+        known = wanted.value
         for b in batches:
-            found = [sorted(order[t] for t in terms_of(x or "") & order.keys()) for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"terms": pa.array(found, pa.list_(pa.int32()))})
+            found = set()
+            for text in b.column("text").to_pylist():
+                before = ""
+                for w in _WORD.findall(fold(text or "")):
+                    for t in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)):
+                        if t in known:
+                            found.add((t, zlib.crc32(before.encode())))
+                    before = w
+            found = sorted(found)
+            yield pa.RecordBatch.from_pydict({"term": pa.array([t for t, _ in found], pa.string()), "c": pa.array([c for _, c in found], pa.int64())})
 
     return run
 
 
+def _surplus(n: int, others: int, share: float) -> float:
+    """n + others times the divergence of n's share from the share of toxic texts: minus the log of how likely chance makes it."""
+    total = n + others
+    p = n / total
+    if p <= share:
+        return 0.0
+    out = n * math.log(p / share)
+    return out + others * math.log((1 - p) / (1 - share)) if others else out
+
+
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Entry (a word, or a stem with a star) to weight.
 
-    Counts go over distinct texts, so copies of a toxic text don't make its plain words toxic. Entries are taken
-    by how many toxic texts they explain that no entry explains yet; a stem goes before the words it begins.
+    An entry's log odds are at least LEAST, and chance alone would hardly have made its share among as many terms. Its
+    finds count by the different words before them, so that copies of a toxic text don't make its plain words toxic. A stem
+    goes before longer ones and the words it begins.
     """
     spark = sample.sparkSession
     distinct = sample.filter(F.col("text").isNotNull()).groupBy(F.md5("text").alias("k")).agg(F.first("text").alias("text"), F.max("y").alias("y"))
@@ -100,35 +121,25 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     distinct = stash.put(distinct.select("text", "y"))
     size = {r["y"]: r["count"] for r in distinct.groupBy("y").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
+    if not pos or not neg:
+        return {}
     counts = lambda df, wanted=None: df.select("text").mapInArrow(_term_counts(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    often = counts(distinct.filter("y = 1")).filter(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(4 * CANDIDATES).collect()
+    often = counts(distinct.filter("y = 1")).filter("n >= 3").orderBy(F.desc("n"), "term").limit(4 * CANDIDATES).collect()
     often = {r["term"]: r["n"] for r in often}
     wanted = spark.sparkContext.broadcast(set(often))
     others = {r["term"]: r["n"] for r in counts(distinct.filter("y = 0"), wanted).collect()}
+    share, least = pos / (pos + neg), math.log(max(1, len(often))) + 2
     odds = {t: math.log((n + 0.5) / (pos - n + 0.5)) - math.log((others.get(t, 0) + 0.5) / (neg - others.get(t, 0) + 0.5)) for t, n in often.items()}
-    good = sorted((t for t in odds if odds[t] >= LEAST), key=lambda t: (-odds[t], t))[:CANDIDATES]
-    docs = [r["terms"] for r in distinct.filter("y = 1").select("text").mapInArrow(_terms_in(spark.sparkContext.broadcast(good)), "terms array<int>").collect()]
+    good = [t for t in odds if odds[t] >= LEAST and _surplus(often[t], others.get(t, 0), share) >= least]
+    good = set(sorted(good, key=lambda t: (-often[t], t))[:CANDIDATES])
+    seen = distinct.filter("y = 1").select("text").mapInArrow(_contexts(spark.sparkContext.broadcast(good)), "term string, c long")
+    found = {r["term"]: r["n"] for r in seen.groupBy("term").agg(F.countDistinct("c").alias("n")).collect()}
     stash.drop(distinct)
-    return {good[i]: odds[good[i]] for i in _cover(docs, len(good), [(odds[t] > 0) * (t.endswith("*")) for t in good])}
-
-
-def _cover(docs: list[list[int]], n: int, stem: list[bool]) -> list[int]:
-    """Greedy cover of the documents by terms: the largest gain first, a stem at equal gain."""
-    has: list[list[int]] = [[] for _ in range(n)]
-    for d, terms in enumerate(docs):
-        for t in terms:
-            has[t].append(d)
-    gain, left, out = [len(x) for x in has], set(range(len(docs))), []
-    while left and n and len(out) < ENTRIES:
-        best = max(range(n), key=lambda t: (gain[t], stem[t], -t))
-        if gain[best] < SUPPORT:
-            break
-        out.append(best)
-        for d in has[best]:
-            if d in left:
-                left.discard(d)
-                for t in docs[d]:
-                    gain[t] -= 1
+    out: dict[str, float] = {}
+    for t in sorted(good, key=lambda t: (len(t.rstrip("*")), not t.endswith("*"), t)):
+        word = t.rstrip("*")
+        if len(out) < ENTRIES and _surplus(max(1, min(often[t], found.get(t, 0))), others.get(t, 0), share) >= least and not any(word[:n] + "*" in out for n in STEMS if n <= len(word)):
+            out[t] = odds[t]
     return out
 
 
@@ -232,4 +243,5 @@ def drop_toxic(spark, docs, sf_dir, threshold: float = 0.5):
     """Pipeline stage: documents scored toxic go; all others stay as they are."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     lexicon, weights = train(docs, labels)
-    return score_toxicity(docs, lexicon, weights, keep=tuple(docs.columns)).filter(F.col("score") < threshold).drop("score")
+    scored = score_toxicity(packed(docs), lexicon, weights, keep=("doc_id", "text", "_rest"))
+    return unpacked(scored.filter(F.col("score") < threshold), docs.columns)
