@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.columns import packed, unpacked
 from millrace.llm.components import in_blocks
 from millrace.session import Stash, partitions
 
@@ -352,8 +353,9 @@ def op5_line_dedup(spark, sf_dir):
 
 def dedup_lines_stage(spark, docs, sf_dir):
     """Pipeline stage: texts lose their repeated lines. A document that had words and has none left goes: all it said stands elsewhere."""
-    out = dedup_lines(docs)
+    out = dedup_lines(packed(docs))
     blank = F.regexp_replace("text", r"(?U)\s+", "") == ""
-    kept = out.filter((F.size("_gone") == 0) | ~blank)
-    cols = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return kept.select(*cols)
+    kept = unpacked(out.filter((F.size("_gone") == 0) | ~blank), docs.columns)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept
