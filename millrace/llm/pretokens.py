@@ -35,7 +35,7 @@ class PreTokens:
     #: Entries of a generation; two are kept, and one that is full becomes the old one.
     KEEP = 250_000
     #: Bytes of the texts that are encoded together.
-    TOGETHER = 8 << 20
+    TOGETHER = 24 << 20
 
     def __init__(self, path: str):
         import os
@@ -44,8 +44,11 @@ class PreTokens:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        if hasattr(self.lib.model, "_resize_cache"):
+            self.lib.model._resize_cache(0)  # its own cache of words only costs: what is kept is kept here
         (self.feed,) = self.lib.encode("\n", add_special_tokens=False).ids
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        self.apart = "|".join([ODD_RE2, RUN_RE2, *(re.sub(r"(\W)", r"\\\1", x) for x in self.specials)])
         # Raw ids of stretches (without the space they begin with), and of pieces that have no space.
         self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
@@ -103,20 +106,26 @@ class PreTokens:
     def _together(self, texts: pa.Array):
         if len(self.spaced) + len(self.bare) > self.KEEP:
             self.old, self.spaced, self.bare = (self.spaced, self.bare), {}, {}
-        odd = pc.or_(pc.match_substring_regex(texts, ODD_RE2), pc.match_substring_regex(texts, RUN_RE2))
-        for special in self.specials:
-            odd = pc.or_(odd, pc.match_substring(texts, special))
+        odd = pc.match_substring_regex(texts, self.apart)
         apart = {i: self._alone(texts[i].as_py()) for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False))}
         cut = pc.split_pattern(pc.binary_join_element_wise(HEAD, pc.if_else(odd, "", texts), ""), " ")
         words = cut.flatten().dictionary_encode()
         which = words.indices.to_numpy()
         raw = self._raw(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        n = np.fromiter(map(len, raw), np.int64, len(raw)) >> 2
-        flat, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(n) - n
+        # A chunk has far fewer than 2 ** 31 tokens, unless one text alone is larger.
+        kind = np.int32 if texts.nbytes < 1 << 30 else np.int64
+        n = np.fromiter(map(len, raw), kind, len(raw)) >> 2
+        flat, first = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(n, dtype=kind) - n
         count = n[which]
-        done = np.cumsum(count)
-        ids = flat[np.arange(done[-1] if len(done) else 0) + np.repeat(first[which] - (done - count), count)]
+        done = np.cumsum(count, dtype=kind)
         edge = np.concatenate([[0], done])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+        at = first[which]
+        at -= done
+        at += count
+        at = np.repeat(at, count)
+        at += np.arange(len(at), dtype=kind)
+        ids = flat[at]
+        del at, count, done
         for i in range(len(texts)):
             yield apart[i] if i in apart else ids[edge[i] : edge[i + 1]]
 

@@ -14,6 +14,7 @@ An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import uuid
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -97,11 +98,12 @@ def _pack(path, size, end_id, pad_id, window, dtype):
         def rows_of(packs):
             nonlocal made
             cols = {k: [] for k in ("sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "starts", "doc_tokens")}
+            pad = np.full(size, pad_id, dtype).tobytes()
             for pack in packs:
-                cu = np.cumsum([0, *(len(p[2]) for p in pack)])
-                row = np.full(size, pad_id, dtype)
-                row[: cu[-1]] = np.concatenate([p[2] for p in pack])
-                for k, v in zip(cols, ((part << 33) + made, int(cu[-1]), row.tobytes(), cu.tolist(), cu[:-1].tolist(), [p[0] for p in pack], [p[1] for p in pack], [p[3] for p in pack]), strict=True):
+                cu = [0, *accumulate(len(p[2]) for p in pack)]
+                row = b"".join([p[2].data for p in pack])
+                row += pad[len(row) :]
+                for k, v in zip(cols, ((part << 33) + made, cu[-1], row, cu, cu[:-1], [p[0] for p in pack], [p[1] for p in pack], [p[3] for p in pack]), strict=True):
                     cols[k].append(v)
                 made += 1
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
