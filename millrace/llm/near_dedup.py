@@ -131,24 +131,25 @@ class Shingles:
     """Hashed shingles of many texts at once."""
 
     def __init__(self, width: int = WIDTH):
-        self.width, self.order, self.hash = width, {}, []
+        self.width, self.order, self.hash = width, {}, np.zeros(1 << 16, np.uint64)
 
     def of(self, texts: list[list[str]], weighted: bool = False):
         """(element, weight, text) of the distinct shingles of word lists that have a word."""
-        order, hashes = self.order, self.hash
-        if len(order) > 400_000:
-            order.clear(), hashes.clear()
-        ids = []
+        order = self.order
+        if len(order) > 300_000:
+            order.clear()
+        ids, known, fresh = [], len(order), []
         for words in texts:
-            for x in set(words):
-                if x not in order:
-                    order[x] = len(order)
-                    hashes.append(xxhash.xxh3_64_intdigest(x))
+            for x in set(words).difference(order):
+                order[x] = len(order)
+                fresh.append(xxhash.xxh3_64_intdigest(x))
             ids.extend(map(order.__getitem__, words))
+        if len(order) > len(self.hash):
+            self.hash = np.append(self.hash, np.zeros(max(len(order), 2 * len(self.hash)) - len(self.hash), np.uint64))
+        self.hash[known : len(order)] = fresh
         size = np.array([len(x) for x in texts])
         doc = np.repeat(np.arange(len(texts)), size)
-        table = np.array(hashes, np.uint64)
-        x = table[np.array(ids, np.int64)]
+        x = self.hash[np.array(ids, np.int64)]
         # A window starts at each word with width - 1 more behind it in its text; a shorter text is one window.
         at = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size)
         start = np.flatnonzero((at <= np.repeat(size, size) - self.width) | ((at == 0) & (np.repeat(size, size) < self.width)))
