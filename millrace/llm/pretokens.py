@@ -33,9 +33,9 @@ class PreTokens:
     """Splitter and cached encoder over a tokenizers file; one per Python worker."""
 
     #: Entries of a generation; two are kept, and one that is full becomes the old one.
-    KEEP = 250_000
+    KEEP = 200_000
     #: Bytes of the texts that are encoded together.
-    TOGETHER = 24 << 20
+    TOGETHER = 12 << 20
 
     def __init__(self, path: str):
         import os
@@ -99,6 +99,7 @@ class PreTokens:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + self.TOGETHER, side="right")))
             yield from self._together(pc.fill_null(texts.slice(at, to - at), ""))
             at = to
+        pa.default_memory_pool().release_unused()
 
     def ids(self, text: str) -> np.ndarray:
         return next(self.column(pa.array([text])))
