@@ -33,7 +33,7 @@ class PreTokens:
     """Splitter and cached encoder over a tokenizers file; one per Python worker."""
 
     #: Entries of a generation; two are kept, and one that is full becomes the old one.
-    KEEP = 200_000
+    KEEP = 250_000
     #: Bytes of the texts that are encoded together.
     TOGETHER = 12 << 20
 
@@ -77,20 +77,25 @@ class PreTokens:
         spaced, bare, alone = [], [], []
         for i, p in enumerate(pieces):
             (bare if p.isalpha() else spaced if p[0] == " " and p[1:].isalpha() else alone).append(i)
-        # A line feed between two pieces is a pre-token of its own, and its id is in no word.
-        feed = self.feed
         for own in (spaced, bare):
-            for at in range(0, len(own), 5000):
-                part = own[at : at + 5000]
-                ids = np.array(self.lib.encode_batch_fast(["\n".join([pieces[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
-                cuts = np.flatnonzero(ids == feed)
-                raw = ids.tobytes()
-                for i, a, b in zip(part, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)], strict=True):
-                    out[i] = raw[a:b]
+            for i, raw in zip(own, self._joined([pieces[i] for i in own], ""), strict=True):
+                out[i] = raw
         for i, e in zip(alone, self.lib.encode_batch([pieces[i] for i in alone], add_special_tokens=False), strict=True):
             out[i] = array.array("I", e.ids).tobytes()
         return out
 
+    def _joined(self, letters: list[str], before: str):
+        """Raw ids of pre-tokens of letters, with `before` in front of each.
+
+        A line feed between two of them is a pre-token of its own, and its id is in no word.
+        """
+        for at in range(0, len(letters), 5000):
+            text = before + f"\n{before}".join(letters[at : at + 5000])
+            ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = 4 * np.flatnonzero(ids == self.feed)
+            raw = ids.tobytes()
+            yield from (raw[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True))
+
     def column(self, texts: pa.Array):
         """Per text of a column all its ids, as an array of unsigned 32-bit numbers. Nulls are empty."""
         ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -171,14 +176,15 @@ class PreTokens:
         return out
 
     def _learn(self, pieces: set[str], words: set[str] = frozenset()) -> None:
-        """Adds pre-tokens, and words that follow a space, from the old generation or the library."""
+        """Adds pre-tokens, and words of letters that follow a space, from the old generation or the library."""
         spaced, bare, (old_spaced, old_bare) = self.spaced, self.bare, self.old
-        known = [w for w in words if w in old_spaced]
-        spaced.update([(w, old_spaced[w]) for w in known])
-        fresh = [" " + w for w in words if w not in spaced]
+        spaced.update([(w, old_spaced[w]) for w in words if w in old_spaced])
+        fresh = [w for w in words if w not in spaced]
+        spaced.update(zip(fresh, self._joined(fresh, " "), strict=True))
+        fresh = []
         for p in pieces:
             to, old, key = (spaced, old_spaced, p[1:]) if p[0] == " " else (bare, old_bare, p)
-            if key not in to and (key not in words or to is bare):
+            if key not in to:
                 if key in old:
                     to[key] = old[key]
                 else:

@@ -123,7 +123,8 @@ def _pack(path, size, end_id, pad_id, window, dtype):
 
         for b in batches:
             for doc_id, raw in zip(b.column("doc_id").to_pylist(), tok.column(b.column("text")), strict=True):
-                ids = np.append(raw, np.uint32(end_id)).astype(dtype)
+                ids = np.empty(len(raw) + 1, dtype)
+                ids[:-1], ids[-1] = raw, end_id
                 for at in range(0, len(ids), size):
                     pieces.append((doc_id, at, ids[at : at + size], len(ids)))
                 held += len(ids)
