@@ -37,7 +37,8 @@ def components(edges: DataFrame, stash: Stash, rounds: int = 60) -> DataFrame:
         seen = now_mark
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return out.unionByName(out.select(F.col("root").alias("node"), "root").distinct())
 
 
 def in_blocks(rows: DataFrame, group: str, member: str, n: str, size: int) -> DataFrame:
