@@ -69,3 +69,22 @@ def coverage(counts: DataFrame, by: list[str]) -> DataFrame:
     """Expected, matched and the coverage rounded down, for each group of match_counts()."""
     out = counts.groupBy(*by).agg(F.sum("expected").alias("expected"), F.sum("matched").alias("matched"))
     return out.withColumn("coverage", floor_ratio(F.col("matched"), F.col("expected")))
+
+
+def ranked(df: DataFrame, by: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """Each row's place (from 1) in the order of its group; with no `by`, among all rows. `order` must leave no ties.
+
+    No task gets a whole group: ranges of (by, order) are written to the shared folder, as ranges drawn anew may
+    differ; then counts of ranges, their running sums, and ranks within each range.
+    """
+    from millrace.session import Stash, partitions
+
+    rows = Stash(df.sparkSession, "ranked").put(df.repartitionByRange(partitions(df.sparkSession), *by, *order).withColumn("_range", F.spark_partition_id()))
+    counts = rows.groupBy("_range", *by).agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a group has one row per range that it reaches
+    base = counts.select(F.col("_range").alias("_of"), *(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_base"))
+    own = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order))
+    cond = F.col("_range") == F.col("_of")
+    for i, c in enumerate(by):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    return rows.withColumn("_own", own).join(base, cond).withColumn(name, F.col("_base") + F.col("_own")).select(*df.columns, name)

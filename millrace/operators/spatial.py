@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.match import ranked
+
 
 def cells(df: DataFrame, axes: list[str], size: float) -> DataFrame:
     return df.withColumn("_cell", F.array(*(F.floor(F.col(a) / size).cast("long") for a in axes)))
@@ -39,25 +41,77 @@ def nearest(pairs: DataFrame, key: str, other: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.min(F.struct("dist", other)).alias("m")).select(key, F.col(f"m.{other}").alias(other), F.col("m.dist").alias("dist"))
 
 
-def greedy_one_to_one(pairs: DataFrame, left: str, right: str, rounds: int = 20) -> DataFrame:
+def greedy_one_to_one(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """One-to-one matches: pairs that are each other's nearest, then again among the rest, until none is left.
 
     The same matches as taking pairs by (dist, left, right) one at a time, in a few rounds, each written to the shared folder.
+    Copies of a point tie with each other and take a round each; match_points() takes them together.
     """
     from millrace.session import Stash
 
     stash = Stash(pairs.sparkSession, "one-to-one")
-    rest, out = stash.put(pairs.select(left, right, "dist")), None
-    for i in range(rounds):
-        order = lambda own: F.min(F.struct("dist", left, right)).alias("m")
+    rest, hits, i = stash.put(pairs.select(left, right, "dist")), stash.path(), 0
+    order = lambda own: F.min(F.struct("dist", left, right)).alias("m")
+    while True:
         a = rest.groupBy(left).agg(order(left)).select("m.*")
         b = rest.groupBy(right).agg(order(right)).select("m.*")
-        hits = stash.put(a.join(b, [left, right, "dist"]).withColumn("round", F.lit(i)))
-        out = hits if out is None else out.unionByName(hits)
-        rest = stash.put(rest.join(hits.select(left), left, "left_anti").join(hits.select(right), right, "left_anti"))
+        hit = stash.put(a.join(b, [left, right, "dist"]).withColumn("round", F.lit(i)), f"{hits}/{i}")
+        if rest.isEmpty():  # the last round's table is empty, so that there is one even without pairs
+            return pairs.sparkSession.read.schema(hit.schema).parquet(f"{hits}/*")
+        rest, before = stash.put(rest.join(hit.select(left), left, "left_anti").join(hit.select(right), right, "left_anti")), rest
+        stash.drop(before)
+        i += 1
+
+
+def match_points(left: DataFrame, right: DataFrame, axes: list[str], radius: float, ident: str) -> DataFrame:
+    """l_, r_ and dist of the one-to-one matches of greedy_one_to_one() over radius_join(), with copies of a point taken together.
+
+    Points meet, not rows: a point stands for its copies, which go in the order of `ident` (no id twice on a side). Two points that are each other's
+    nearest, and have no other point as near, match as many copies at once as both still have. Where several points are
+    exactly as near, one copy goes a round, as the next ids decide. Rounds go on until no pair is left.
+    """
+    from millrace.session import Stash
+
+    spark, point = left.sparkSession, F.array(*(F.col(a) + 0.0 for a in axes))  # -0.0 is 0.0
+    stash = Stash(spark, "points")
+
+    def side(df, p):
+        ok = df.filter(" and ".join(f"abs({a}) < double('infinity')" for a in axes)).select(F.col(ident).alias("_id"), point.alias("_at"))
+        rows = stash.put(ranked(ok, ["_at"], [F.col("_id")]).select(F.col("_id").alias(f"{p}_{ident}"), F.col("_at").alias(f"{p}_at"), F.col("rank").alias(f"{p}_rank")))
+        points = rows.groupBy(f"{p}_at").agg(F.count("*").alias("n"), F.min(f"{p}_{ident}").alias("head"))
+        return rows, points.select(F.col(f"{p}_at").alias("at"), "n", "head", F.lit(0).cast("long").alias("used"), *(F.col(f"{p}_at")[i].alias(a) for i, a in enumerate(axes)))
+
+    (lrows, lpoints), (rrows, rpoints) = side(left, "l"), side(right, "r")
+    state = [f"{p}_{c}" for p in "lr" for c in ("at", "n", "head", "used")]
+    rest, hits, i = stash.put(radius_join(lpoints, rpoints, axes, radius).select(*state, "dist")), stash.path(), 0
+
+    def best(p):
+        """Each point's least pair, and whether it is the only one at that distance."""
+        pair = ["l_head", "r_head", "l_at", "r_at"]
+        out = rest.groupBy(f"{p}_at").agg(F.min(F.struct("dist", *pair)).alias("m"), F.max(F.struct((-F.col("dist")).alias("d"), *pair)).alias("x"))
+        return out.select("m.l_at", "m.r_at", ((F.col("m.l_at") == F.col("x.l_at")) & (F.col("m.r_at") == F.col("x.r_at"))).alias(f"{p}_only"))
+
+    def spent(df, hit, rows, p):
+        """The pairs with what the round took of side p's points; points without copies left are gone."""
+        took = hit.select(f"{p}_at", "k", (F.col(f"{p}_used") + F.col("k") + 1).alias(f"{p}_rank")).join(rows, [f"{p}_at", f"{p}_rank"], "left")
+        took = took.select(f"{p}_at", "k", F.col(f"{p}_{ident}").alias("_next"))
+        out = df.join(took, f"{p}_at", "left").filter(f"k is null or {p}_used + k < {p}_n")
+        return out.withColumn(f"{p}_head", F.coalesce("_next", f"{p}_head")).withColumn(f"{p}_used", F.col(f"{p}_used") + F.coalesce("k", F.lit(0))).drop("k", "_next")
+
+    while True:
+        k = F.when(F.col("l_only") & F.col("r_only"), F.least(F.col("l_n") - F.col("l_used"), F.col("r_n") - F.col("r_used"))).otherwise(F.lit(1).cast("long"))
+        hit = stash.put(best("l").join(best("r"), ["l_at", "r_at"]).join(rest, ["l_at", "r_at"]).withColumn("k", k).select("l_at", "r_at", "l_used", "r_used", "dist", "k"), f"{hits}/{i}")
         if rest.isEmpty():
             break
-    return out
+        rest, before = stash.put(spent(spent(rest, hit, lrows, "l"), hit, rrows, "r").select(*state, "dist")), rest
+        stash.drop(before)
+        i += 1
+    every = spark.read.schema(hit.schema).parquet(f"{hits}/*")
+    # Long runs of copies are cut before they are spread, so that no task spreads a whole one.
+    runs = every.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), "k", F.lit(4096).cast("long")))).repartition("l_at", "_from")
+    runs = runs.withColumn("_i", F.explode(F.sequence("_from", F.least("k", F.col("_from") + 4095))))
+    out = runs.select("l_at", (F.col("l_used") + F.col("_i")).alias("l_rank"), "r_at", (F.col("r_used") + F.col("_i")).alias("r_rank"), "dist")
+    return out.join(lrows, ["l_at", "l_rank"]).join(rrows, ["r_at", "r_rank"]).select(f"l_{ident}", f"r_{ident}", "dist")
 
 
 def range_join(left: DataFrame, right: DataFrame, value: str, tolerance: float, extra: Column | None = None) -> DataFrame:

@@ -183,8 +183,8 @@ def x6(spark, d):
 @query("x7_one_to_one")
 def x7(spark, d):
     p = _points(spark, d)
-    pairs = spatial.radius_join(p.filter("vec_id % 2 = 0"), p.filter("vec_id % 2 = 1"), ["x", "y", "z"], 0.05)
-    return spatial.greedy_one_to_one(pairs.select("l_vec_id", "r_vec_id", "dist"), "l_vec_id", "r_vec_id").select("l_vec_id", "r_vec_id", F.round("dist", 6).alias("dist"))
+    out = spatial.match_points(p.filter("vec_id % 2 = 0"), p.filter("vec_id % 2 = 1"), ["x", "y", "z"], 0.05, "vec_id")
+    return out.select("l_vec_id", "r_vec_id", F.round("dist", 6).alias("dist"))
 
 
 @query(

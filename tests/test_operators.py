@@ -155,6 +155,37 @@ def test_one_to_one_equals_greedy(spark):
     assert got == want
 
 
+def greedy_by_hand(left, right, radius):
+    want, used_l, used_r = set(), set(), set()
+    dist = lambda p, q: sum((a - b) * (a - b) for a, b in zip(p, q, strict=True)) ** 0.5
+    for d, a, b in sorted((dist(p, q), i, j) for i, *p in left for j, *q in right):
+        if d <= radius and a not in used_l and b not in used_r:
+            want.add((a, b))
+            used_l.add(a), used_r.add(b)
+    return want
+
+
+def test_one_to_one_goes_on_until_none_is_left(spark):
+    left, right = [(i, 0.5) for i in range(24)], [(100 + i, 0.5) for i in range(25)]
+    a, b = (spark.createDataFrame(x, "id int, x double") for x in (left, right))
+    pairs = spatial.radius_join(a, b, ["x"], 0.1).select("l_id", "r_id", "dist")
+    got = {(r.l_id, r.r_id) for r in spatial.greedy_one_to_one(pairs, "l_id", "r_id").collect()}
+    assert got == greedy_by_hand(left, right, 0.1) and len(got) == 24
+    assert spatial.greedy_one_to_one(pairs.limit(0), "l_id", "r_id").count() == 0
+
+
+def test_points_match_with_copies(spark):
+    rng = random.Random(8)
+    spots = [(0.25 * rng.randrange(4), 0.25 * rng.randrange(4)) for _ in range(8)]  # exact ties between points, too
+    rows = [(i, *rng.choice(spots)) for i in range(60)] + [(i, 9.0, -0.0 if i % 3 else 0.0) for i in range(60, 180)]
+    rows += [(i, 20.0 + i % 2 / 10, 0.0) for i in range(180, 280)]  # copies whose nearest are copies of another point
+    rng.shuffle(rows)
+    df = spark.createDataFrame([*rows, (900, float("nan"), 0.0), (901, float("nan"), 0.0), (902, None, 0.0), (903, float("inf"), 0.0), (904, float("inf"), 0.0)], "id int, x double, y double")
+    got = [(r.l_id, r.r_id) for r in spatial.match_points(df.filter("id % 2 = 0"), df.filter("id % 2 = 1"), ["x", "y"], 0.3, "id").collect()]
+    want = greedy_by_hand([r for r in rows if r[0] % 2 == 0], [r for r in rows if r[0] % 2], 0.3)
+    assert len(got) == len(set(got)) and set(got) == want and len(got) == 130
+
+
 def test_mesh_and_overlap(spark):
     t = [(1, 0, 0, 0, 1, 0, 0, 0, 1, 0), (1, 0, 0, 0, 0, 1, 0, 0, 0, 1), (1, 0, 0, 0, 0, 0, 1, 1, 0, 0), (1, 1, 0, 0, 0, 0, 1, 0, 1, 0)]
     cols = "m int, ax double, ay double, az double, bx double, by double, bz double, cx double, cy double, cz double"
