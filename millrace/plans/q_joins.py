@@ -314,8 +314,9 @@ def u5(spark, d):
 
 @query("o1_sort_largest", "SELECT doc_id, n_chars, CAST(row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) AS INT) AS pos FROM documents ORDER BY n_chars DESC NULLS LAST, doc_id LIMIT 1000")
 def o1(spark, d):
-    top = load(spark, d, "documents").select("doc_id", "n_chars").orderBy(F.desc_nulls_last("n_chars"), "doc_id").limit(1000)  # a report of the largest
-    return top.withColumn("pos", F.row_number().over(Window.orderBy(F.desc_nulls_last("n_chars"), "doc_id")))
+    docs = load(spark, d, "documents").select("doc_id", "n_chars")
+    order = [F.desc_nulls_last("n_chars"), F.col("doc_id")]
+    return match.ranked(docs, [], order, "pos").withColumn("pos", F.col("pos").cast("int")).orderBy(*order)
 
 
 @query(

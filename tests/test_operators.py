@@ -155,6 +155,22 @@ def test_one_to_one_equals_greedy(spark):
     assert got == want
 
 
+def test_sort_largest_keeps_all_rows(spark, tmp_path):
+    from millrace.plans.q_joins import o1
+
+    sizes = [(i, None if i % 97 == 0 else 5 if i < 1200 else i % 50) for i in range(1500)]  # one size held by most rows
+    spark.createDataFrame(sizes, "doc_id long, n_chars long").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    want = [(d, n, i + 1) for i, (d, n) in enumerate(sorted(sizes, key=lambda r: (r[1] is None, -(r[1] or 0), r[0])))]
+    assert [tuple(r) for r in o1(spark, str(tmp_path)).select("doc_id", "n_chars", "pos").collect()] == want
+
+
+def test_ranks_within_groups(spark):
+    rows = [("a" if i % 10 else None, i * 7 % 1000) for i in range(1000)]
+    got = match.ranked(spark.createDataFrame(rows, "g string, v int"), ["g"], [F.col("v")]).collect()
+    by = {g: sorted(v for h, v in rows if h == g) for g in ("a", None)}
+    assert len(got) == 1000 and all(by[r.g][r["rank"] - 1] == r.v for r in got)
+
+
 def greedy_by_hand(left, right, radius):
     want, used_l, used_r = set(), set(), set()
     dist = lambda p, q: sum((a - b) * (a - b) for a, b in zip(p, q, strict=True)) ** 0.5
