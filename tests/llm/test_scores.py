@@ -187,6 +187,15 @@ def test_quality(spark, tiny):
     assert Q.judge_quality(tiny([]), labels).count() == 0
 
 
+def test_quality_recall_of_bad_rows(spark):
+    d = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    rows = [(labels[r.doc_id], r.base_failed, r.kept) for r in Q.op6_quality_rules(spark, d).collect() if labels.get(r.doc_id) is not None]
+    bad, good = [k for y, _, k in rows if y == 0], [k for y, failed, k in rows if y == 1 and not failed]
+    assert len(bad) > 500 and 1 - np.mean(bad) > 0.9
+    assert np.mean(good) >= Q.KEEP
+
+
 def test_mixing_meets_targets(spark, tiny):
     rng = np.random.default_rng(8)
     p = rng.dirichlet([0.3, 0.3, 0.3], 2000)
