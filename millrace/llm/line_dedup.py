@@ -287,7 +287,7 @@ def _drops(edits):
                     if rows:
                         out += near(rows)
                     group, rows = (bucket, lo, hi), []
-                rows.append((own, kind, key, (null, doc or 0, pos), text, lo, hi))
+                rows.append((own, kind, key, (null, doc or 0, pos, key), text, lo, hi))  # null and repeated ids share places; the key parts them
             yield pa.RecordBatch.from_pydict({"key": pa.array(out, pa.binary())})
         if rows:
             yield pa.RecordBatch.from_pydict({"key": pa.array(list(near(rows)), pa.binary())})

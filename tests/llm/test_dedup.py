@@ -94,6 +94,13 @@ def test_line_dedup_letters_sieve(spark, tiny):
     assert sorted(((r.doc_id, r.text) for r in L.dedup_lines(tiny(docs)).collect()), key=repr) == brute_lines(docs)
 
 
+@pytest.mark.parametrize("ids", [(None, None), (5, 5)])
+def test_line_dedup_keeps_one_of_two_in_the_same_place(spark, tiny, ids):
+    lines = ["the same long line about nothing, a", "the same long line about nothing, b"]
+    texts = [r.text for r in L.dedup_lines(tiny(list(zip(ids, lines, strict=True)))).collect()]
+    assert len(texts) == 2 and sorted(t in lines for t in texts) == [False, True]
+
+
 def test_line_dedup_empty_and_stage(spark, tiny):
     assert L.dedup_lines(tiny([])).count() == 0
     one = "a line that is long enough to be judged"
