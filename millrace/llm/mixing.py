@@ -1,10 +1,10 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier fitted on a bounded sample of labelled rows gives each document a posterior over the domains. Document rates r >= 0 are then
-sought such that the expected tokens of each domain, sum of r n p_k, come to the target's share of the total. Projected gradient
-steps minimise the squared gap to the targets, each domain's gap by its target, plus a small pull of every rate to `start`. A
-step's gradient for a document depends on the corpus only through one number per domain, so an iteration is one
-aggregate over all documents, and a document's rate is a fold over the steps' numbers. Nothing but those numbers leaves the executors.
+sought such that the expected tokens of each domain, sum of r n p_k, come to the target's share of the total. They minimise the
+squared gap to the targets, each domain's gap by its target, plus a small pull of every rate to `start`. A document's rate depends
+on the corpus only through one number per domain, so an iteration is one aggregate over all documents: Newton steps on those numbers
+(meet_targets), or projected gradient steps (solve_rates). Nothing but totals and their derivatives leaves the executors.
 
 A row whose text is null or has no words has no tokens and gets rate `start`. Rows are treated one by one, so
 repeated rows, equal ids and null ids get the same rate. Labels that are null, and labelled ids without a document, are left out; without
@@ -14,6 +14,7 @@ any labelled row each domain is equally likely. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from millrace.session import Stash
 
 TRAIN_ROWS = 20_000
 STEPS, PULL = 40, 0.01
+#: meet_targets(): share of its target by which a total may miss it, Newton steps under one pull, and the weakest pull.
+TOLERANCE, MOST_NEWTON, LEAST_PULL = 1e-3, 30, 1e-6
 #: The domains by label value, with their target shares of all tokens.
 DOMAINS = ("low", "high")
 TARGETS = (0.08, 0.92)
@@ -190,12 +193,83 @@ def solve_rates(rows: DataFrame, targets: tuple[float, ...], steps: int = STEPS,
     return out, before, goal, now
 
 
+def _moments(k, state):
+    def run(batches):
+        slopes, start = state.value
+        total, bend = np.zeros(k), np.zeros((k, k))
+        for b in batches:
+            n, p = _columns(b, k)
+            r = np.maximum(0.0, start - p @ slopes)
+            total += (r * n) @ p
+            bend += (p * (n * (r > 0))[:, None]).T @ p
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (*total, *bend.reshape(-1))], [f"d{i}" for i in range(k + k * k)])
+
+    return run
+
+
+def _with_met_rates(k, state, names):
+    def run(batches):
+        slopes, start = state.value
+        for b in batches:
+            n, p = _columns(b, k)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(np.where(n > 0, np.maximum(0.0, start - p @ slopes), start))], [*names, "rate"])
+
+    return run
+
+
+def meet_targets(rows: DataFrame, targets: tuple[float, ...], pull: float = PULL, start: float = 1.0, total: float | None = None, anchor: int | None = None):
+    """As solve_rates(), but until every domain's total is within TOLERANCE of its target, at any mix.
+
+    The least point of solve_rates' objective has rates max(0, start - p . slopes) with pull * slopes = gap, so damped Newton steps on one slope per domain
+    find it: each is an aggregate of the totals and their derivatives. Where the pull holds the totals off their targets it is weakened tenfold,
+    from the point reached. If no rates meet the targets, the least point under the given pull stands, with a warning that names the totals.
+    """
+    k, context = len(targets), rows.sparkSession.sparkContext
+
+    def at(slopes):
+        parts = rows.select("n", "p").mapInArrow(_moments(k, context.broadcast((slopes, start))), ", ".join(f"d{i} double" for i in range(k + k * k)))
+        got = np.array([v or 0.0 for v in parts.agg(*(F.sum(f"d{i}") for i in range(k + k * k))).first()])
+        return got[:k], got[k:].reshape(k, k)
+
+    slopes = np.zeros(k)
+    now, bend = at(slopes)
+    before, weights = now, np.array(targets) / sum(targets)
+    if anchor is not None and weights[anchor] > 0:
+        total = now[anchor] / weights[anchor]
+    goal = weights * (now.sum() if total is None else total)
+    scale = np.maximum(goal, 1e-9 * max(1.0, now.sum()))
+    off = lambda x: float(np.abs((x - goal) / scale).max())
+    first = None
+    while off(now) >= TOLERANCE:
+        for _ in range(MOST_NEWTON):
+            left = (now - goal) / scale - pull * slopes
+            if np.abs(left).max() < TOLERANCE / 100:
+                break
+            step, size = np.linalg.solve(bend / scale[:, None] + pull * np.eye(k), left), 1.0
+            while True:  # shorter steps until one brings the point nearer
+                there = slopes + size * step
+                now_, bend_ = at(there)
+                if np.linalg.norm((now_ - goal) / scale - pull * there) < np.linalg.norm(left) or size < 1e-3:
+                    break
+                size /= 2
+            slopes, now, bend = there, now_, bend_
+        first = first or (slopes, now)
+        pull /= 10
+        if pull < LEAST_PULL:
+            break
+    if off(now) >= TOLERANCE:
+        slopes, now = first
+        warnings.warn(f"no rates found that meet the targets: tokens by domain {now.tolist()}, wanted {goal.tolist()}", stacklevel=2)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(_with_met_rates(k, context.broadcast((slopes, start)), rows.columns), f"{schema}, rate double"), before, goal, now
+
+
 def mix(docs: DataFrame, labels: DataFrame, label: str = "quality", targets=TARGETS, rows: int = TRAIN_ROWS, carry=("doc_id",), anchor: int | None = None, total: float | None = None, stash: Stash | None = None) -> DataFrame:
     """The columns in `carry`, n, p and rate."""
     stash = stash or Stash(docs.sparkSession, "mixing")
     model = fit_domains(docs, labels, label, len(targets), rows)
     known = stash.put(with_posteriors(docs, model, list(carry)))
-    return solve_rates(known, targets, anchor=anchor, total=total)[0]
+    return meet_targets(known, targets, anchor=anchor, total=total)[0]
 
 
 def op1_mixing(spark, sf_dir):

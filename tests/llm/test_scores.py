@@ -217,6 +217,26 @@ def test_mixing_meets_targets(spark, tiny):
     assert np.allclose(x, r)
 
 
+@pytest.mark.parametrize("low", [0.13, 0.4, 0.8])
+def test_mixing_meets_targets_at_any_mix(spark, low):
+    rng = np.random.default_rng(5)
+    n = rng.integers(1, 500, 2000)
+    p = [[0.97, 0.03] if rng.random() < low else [0.03, 0.97] for _ in n]
+    rows = Stash(spark, "t").put(spark.createDataFrame([(int(k), v) for k, v in zip(n, p, strict=True)], "n long, p array<double>"))
+    out, _, goal, after = X.meet_targets(rows, X.TARGETS)
+    got = out.collect()
+    met = sum(np.array(r.p) * r.n * r.rate for r in got)
+    assert min(r.rate for r in got) >= 0 and np.allclose(met, after) and np.abs(met / goal - 1).max() < X.TOLERANCE
+    assert X.meet_targets(rows.limit(0), X.TARGETS)[0].count() == 0
+
+
+def test_mixing_says_when_targets_cannot_be_met(spark):
+    rows = Stash(spark, "t").put(spark.createDataFrame([(10, [0.5, 0.5])] * 20, "n long, p array<double>"))
+    with pytest.warns(UserWarning, match="no rates found"):
+        out = X.meet_targets(rows, X.TARGETS)[0]
+    assert all(0 <= r.rate < 10 for r in out.collect())
+
+
 def test_mixing_edges(spark, tiny):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (99, 0)], "doc_id long, quality int")
     docs = [(1, "fine words in a row, all of them."), (2, "### $$$ %%%"), (3, None), (4, ""), (None, "fine words"), (5, "w " * 50000), (1, "fine words in a row, all of them.")]
