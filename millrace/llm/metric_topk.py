@@ -11,7 +11,7 @@ All queries meet all shards, in blocks. A shard's tree is built once, written, a
 queries; a task reads a stream of trees and queries and holds one tree at a time.
 Results are exact, ties included: a page is left out only if its bound is below the k-th score, and equal scores go to the smaller id.
 
-Vectors that are null, or hold a null, NaN or infinity, take no part; nor do rows with a null id. Vectors of different lengths are
+Vectors that are null, or hold a null, NaN or infinity, take no part; nor do rows with a null id. A finite component of size 2**23 or more raises an error. Vectors of different lengths are
 never compared. Repeated ids count as rows of their own (a query leaves out every row with its id, and each row with a
 query's id is a query once per id and vector). An empty table gives no rows; other columns are not read.
 """
@@ -138,9 +138,15 @@ def _to_bytes(batches):
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """vec_id, dim and x: floor(scale * component), component as double; rows that take no part are gone."""
+    """vec_id, dim and x: floor(scale * component), component as double; rows that take no part are gone.
+
+    Numbers have 32 bits: a finite component of size 2**31 / scale or more is an error, not a row left out.
+    """
     v = F.transform(F.col(vec_col), lambda c: c.cast("double"))
-    ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(2.0**31 / scale)))
+    most = 2.0**31 / scale
+    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    fits = F.forall("v", lambda c: F.abs(c) < F.lit(most))
+    ok = F.when(~finite, False).when(fits, True).otherwise(F.raise_error(F.lit(f"a vector has a finite component of size {most:.0f} or more")).cast("boolean"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter("vec_id is not null and v is not null").filter(ok)
     ints = rows.select("vec_id", F.size("v").alias("dim"), F.transform("v", lambda c: F.floor(c * scale).cast("int")).alias("v"))
     return ints.mapInArrow(_to_bytes, "vec_id long, dim int, x binary")

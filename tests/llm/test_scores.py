@@ -39,6 +39,13 @@ def test_metric_topk(spark, shard, monkeypatch):
     assert M.top_k(none, none).count() == 0
 
 
+def test_metric_topk_refuses_what_is_too_large(spark):
+    frame = lambda *rows: spark.createDataFrame(list(rows), "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="8388608 or more"):
+        M.quantised(frame((0, [1.0, 2.0]), (1, [2.0**23, 0.0]))).count()
+    assert M.quantised(frame((0, [1.0, -8388607.0]), (1, [2.0**23, float("nan")]), (2, [float("inf"), 2.0**24]), (None, [2.0**23, 0.0]))).count() == 1
+
+
 def test_tree_saves_work():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(20, 16)) * 300
