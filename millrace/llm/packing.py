@@ -2,7 +2,7 @@
 
 A document is its token ids and an end id. It is cut into pieces of at most `size` ids; the histogram of
 piece lengths has at most `size` bins whatever the corpus, so the plan is made on the driver: lengths are
-placed longest first, each into the pack that is shortest so far, in groups of equal packs (a pattern and a
+placed longest first, each piece into the pack that is shortest at that moment, in groups of equal packs (a pattern and a
 count). Patterns are joined back to the pieces by the rank of a piece among those of its length. The rank is
 counted in two steps (within a salted part of the length, plus the sizes of the parts before), so one length
 that holds most pieces is still dealt over many tasks.
@@ -48,11 +48,11 @@ def _cut(path, size, end_id):
 
 
 def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(count, [(length, copies), ...]) per pattern: lengths longest first, each into the shortest packs that can take it.
+    """(count, [(length, copies), ...]) per pattern: lengths longest first, each piece into the pack that is shortest at that moment.
 
-    A heap holds groups of equal packs by what they hold. A group takes as many pieces as it has packs; of a
-    group larger than that, the rest stays as it is. Where no pack can take a length, packs are opened that hold
-    as many copies of it as fit.
+    A heap holds groups of equal packs by what they hold. The shortest group takes one piece a pack, and of a group larger than what
+    is left, the rest stays as it is; then the next shortest is looked for. Where no pack can take a length, packs are opened that hold as many
+    copies of it as fit: a new pack is the shortest one until it is full. Packs of equal content are one group.
     """
     done: list[tuple[int, tuple]] = []
     heap: list[tuple[int, int, int, tuple]] = []  # tokens so far, order of making, packs, linked pattern
@@ -61,16 +61,14 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tu
         left = histogram[length]
         while left and heap and heap[0][0] + length <= size:
             held, _, packs, pattern = heapq.heappop(heap)
-            fit = (size - held) // length
-            # Enough pieces to fill the whole group evenly: each pack takes `each`.
-            each = max(1, min(fit, left // packs)) if left >= packs else 1
             take = min(packs, left)
             if take < packs:
                 made += 1
                 heapq.heappush(heap, (held, made, packs - take, pattern))
-            left -= take * each
+            left -= take
             made += 1
-            heapq.heappush(heap, (held + each * length, made, take, (pattern, length, each)))
+            chain = (pattern[0], length, pattern[2] + 1) if pattern[1] == length else (pattern, length, 1)
+            heapq.heappush(heap, (held + length, made, take, chain))
         if left:
             fit = size // length
             for packs, each in ((left // fit, fit), (1 if left % fit else 0, left % fit)):
