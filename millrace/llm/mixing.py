@@ -27,8 +27,8 @@ from millrace.session import Stash
 
 TRAIN_ROWS = 20_000
 STEPS, PULL = 40, 0.01
-#: meet_targets(): share of its target by which a total may miss it, Newton steps under one pull, and the weakest pull.
-TOLERANCE, MOST_NEWTON, LEAST_PULL = 1e-3, 30, 1e-6
+#: meet_targets(): share of its target by which a total may miss it, steps under one pull, and the weakest pull.
+TOLERANCE, MOST_STEPS, LEAST_PULL = 1e-3, 30, 1e-6
 #: The domains by label value, with their target shares of all tokens.
 DOMAINS = ("low", "high")
 TARGETS = (0.08, 0.92)
@@ -98,7 +98,7 @@ class Softmax:
         return e / e.sum(1, keepdims=True)
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
-        return self._soft(self._wide(x) @ self.w)
+        return self._soft(np.einsum("ij,jk->ik", self._wide(x), self.w))  # one row's doesn't depend on its batch
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, label: str, k: int, rows: int = TRAIN_ROWS) -> Softmax:
@@ -193,15 +193,22 @@ def solve_rates(rows: DataFrame, targets: tuple[float, ...], steps: int = STEPS,
     return out, before, goal, now
 
 
+def _bounded(n, p, b, slopes, start, shift, least, most):
+    """Rates after the accumulated steps, projected on their bounds, and which rows are free to move."""
+    low = b.column(least).to_numpy() if least else 0.0
+    raw = start - sum((p[:, i] - shift[i]) * slopes[i] for i in range(p.shape[1]))  # one row's rate doesn't depend on its batch
+    return np.where(n > 0, np.clip(raw, low, most), start), (raw > low) & (raw <= most)
+
+
 def _moments(k, state):
     def run(batches):
-        slopes, start = state.value
         total, bend = np.zeros(k), np.zeros((k, k))
         for b in batches:
             n, p = _columns(b, k)
-            r = np.maximum(0.0, start - p @ slopes)
+            r, free = _bounded(n, p, b, *state.value)
+            q = p - state.value[2]
             total += (r * n) @ p
-            bend += (p * (n * (r > 0))[:, None]).T @ p
+            bend += (q * (n * free)[:, None]).T @ q
         yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (*total, *bend.reshape(-1))], [f"d{i}" for i in range(k + k * k)])
 
     return run
@@ -209,47 +216,54 @@ def _moments(k, state):
 
 def _with_met_rates(k, state, names):
     def run(batches):
-        slopes, start = state.value
         for b in batches:
             n, p = _columns(b, k)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(np.where(n > 0, np.maximum(0.0, start - p @ slopes), start))], [*names, "rate"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(_bounded(n, p, b, *state.value)[0])], [*names, "rate"])
 
     return run
 
 
-def meet_targets(rows: DataFrame, targets: tuple[float, ...], pull: float = PULL, start: float = 1.0, total: float | None = None, anchor: int | None = None):
+def meet_targets(rows: DataFrame, targets: tuple[float, ...], pull: float = PULL, start: float = 1.0, total: float | None = None, anchor: int | None = None, shares: bool = False, least: str | None = None, most: float = math.inf):
     """As solve_rates(), but until every domain's total is within TOLERANCE of its target, at any mix.
 
-    The least point of solve_rates' objective has rates max(0, start - p . slopes) with pull * slopes = gap, so damped Newton steps on one slope per domain
-    find it: each is an aggregate of the totals and their derivatives. Where the pull holds the totals off their targets it is weakened tenfold,
-    from the point reached. If no rates meet the targets, the least point under the given pull stands, with a warning that names the totals.
+    Projected gradient steps in their lazy form: the gradient of the squared gap with respect to a row's rate is p . gap, so all steps together are
+    one number per domain (slopes), and the rates are start - p . slopes projected on their bounds. The steps are scaled by the k x k matrix of second
+    derivatives over the rows that no bound holds, which makes their number independent of the mix. Each step is one aggregate. Where the pull holds the totals off
+    their targets it is weakened tenfold, from the point reached. If no rates meet the targets, the least point under the given pull stands, with a
+    warning that names the totals.
+
+    shares: targets are shares of whatever total comes out. least: a column of each row's least rate (0 without it). most: the largest rate.
     """
     k, context = len(targets), rows.sparkSession.sparkContext
+    weights = np.array(targets) / sum(targets)
+    shift = weights if shares else np.zeros(k)
+    asked = ["n", "p", *([least] if least else [])]
 
     def at(slopes):
-        parts = rows.select("n", "p").mapInArrow(_moments(k, context.broadcast((slopes, start))), ", ".join(f"d{i} double" for i in range(k + k * k)))
+        parts = rows.select(*asked).mapInArrow(_moments(k, context.broadcast((slopes, start, shift, least, most))), ", ".join(f"d{i} double" for i in range(k + k * k)))
         got = np.array([v or 0.0 for v in parts.agg(*(F.sum(f"d{i}") for i in range(k + k * k))).first()])
         return got[:k], got[k:].reshape(k, k)
 
     slopes = np.zeros(k)
     now, bend = at(slopes)
-    before, weights = now, np.array(targets) / sum(targets)
+    before = now
     if anchor is not None and weights[anchor] > 0:
         total = now[anchor] / weights[anchor]
-    goal = weights * (now.sum() if total is None else total)
-    scale = np.maximum(goal, 1e-9 * max(1.0, now.sum()))
-    off = lambda x: float(np.abs((x - goal) / scale).max())
+    wanted = weights * (now.sum() if total is None else total)
+    goal = lambda x: weights * x.sum() if shares else wanted
+    scale = np.maximum(wanted, 1e-9 * max(1.0, now.sum()))
+    off = lambda x: float(np.abs((x - goal(x)) / np.maximum(goal(x), 1e-9 * max(1.0, x.sum()))).max())
     first = None
     while off(now) >= TOLERANCE:
-        for _ in range(MOST_NEWTON):
-            left = (now - goal) / scale - pull * slopes
+        for _ in range(MOST_STEPS):
+            left = (now - goal(now)) / scale - pull * slopes
             if np.abs(left).max() < TOLERANCE / 100:
                 break
             step, size = np.linalg.solve(bend / scale[:, None] + pull * np.eye(k), left), 1.0
             while True:  # shorter steps until one brings the point nearer
                 there = slopes + size * step
                 now_, bend_ = at(there)
-                if np.linalg.norm((now_ - goal) / scale - pull * there) < np.linalg.norm(left) or size < 1e-3:
+                if np.linalg.norm((now_ - goal(now_)) / scale - pull * there) < np.linalg.norm(left) or size < 1e-3:
                     break
                 size /= 2
             slopes, now, bend = there, now_, bend_
@@ -259,17 +273,27 @@ def meet_targets(rows: DataFrame, targets: tuple[float, ...], pull: float = PULL
             break
     if off(now) >= TOLERANCE:
         slopes, now = first
-        warnings.warn(f"no rates found that meet the targets: tokens by domain {now.tolist()}, wanted {goal.tolist()}", stacklevel=2)
+        warnings.warn(f"no rates found that meet the targets: tokens by domain {now.tolist()}, wanted {goal(now).tolist()}", stacklevel=2)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_with_met_rates(k, context.broadcast((slopes, start)), rows.columns), f"{schema}, rate double"), before, goal, now
+    state = context.broadcast((slopes, start, shift, least, most))
+    return rows.mapInArrow(_with_met_rates(k, state, rows.columns), f"{schema}, rate double"), before, goal(now), now
 
 
-def mix(docs: DataFrame, labels: DataFrame, label: str = "quality", targets=TARGETS, rows: int = TRAIN_ROWS, carry=("doc_id",), anchor: int | None = None, total: float | None = None, stash: Stash | None = None) -> DataFrame:
-    """The columns in `carry`, n, p and rate."""
+def mix(docs: DataFrame, labels: DataFrame, label: str = "quality", targets=TARGETS, rows: int = TRAIN_ROWS, carry=("doc_id",), stash: Stash | None = None, keep: int | None = None, **how) -> DataFrame:
+    """The columns in `carry` (which n, p, least and rate must not clash with), n, p and rate.
+
+    keep: documents whose posterior of this domain is 0.5 or more have a rate of 1 at least: a bound of the solver, not a change of its result.
+    """
+    taken = {"n", "p", "least", "rate"} & set(carry)
+    if taken:
+        raise ValueError(f"columns to carry clash with the result's: {sorted(taken)}")
     stash = stash or Stash(docs.sparkSession, "mixing")
     model = fit_domains(docs, labels, label, len(targets), rows)
-    known = stash.put(with_posteriors(docs, model, list(carry)))
-    return meet_targets(known, targets, anchor=anchor, total=total)[0]
+    known = with_posteriors(docs, model, list(carry))
+    if keep is not None:
+        known = known.withColumn("least", (F.element_at("p", keep + 1) >= 0.5).cast("double"))
+        how = {"least": "least"} | how
+    return meet_targets(stash.put(known), targets, **how)[0].drop("least")
 
 
 def op1_mixing(spark, sf_dir):
@@ -280,13 +304,14 @@ def op1_mixing(spark, sf_dir):
 
 
 def mix_stage(spark, docs, sf_dir):
-    """Pipeline stage: low-quality text is thinned to its target share, and the rest is kept.
+    """Pipeline stage: low-quality text is thinned until the domains' expected tokens stand in their target shares.
 
-    The total is the one at which high-quality tokens keep their number, so clean documents have rates of about 1 or more. A
-    document stays if a hash of its id is below its rate: always at 1 or more. A sample by rate is what mixing is.
+    Rates lie between 0 and 1, and the solver holds those of clean documents (a posterior of 0.5 or more for high quality) at 1. A document stays if
+    a hash of its id (of its text, without an id) is below its rate, so repeated rows stay or go together. Texts that are null or without words have a rate of 1. Where low-quality
+    text is below its share already, nothing goes and a warning says so. An empty table gives no rows; long texts count whole; other columns pass through,
+    whatever their names.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    out = mix(packed(docs), labels, carry=("doc_id", "text", "_rest"), anchor=1)
+    out = mix(packed(docs), labels, carry=("doc_id", "text", "_rest"), keep=1, shares=True, most=1.0)
     u = F.conv(F.substring(F.sha2(F.concat(F.lit("mix|"), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))), 256), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    clean = F.element_at("p", 2) >= 0.5
-    return unpacked(out.filter(clean | (u < F.col("rate"))), docs.columns)
+    return unpacked(out.filter(u < F.col("rate")), docs.columns)
