@@ -3,11 +3,13 @@
 Folding lower-cases a text, maps look-alike letters of other scripts and digits (and @ $ ! between letters) to
 the Latin letters they stand for, and keeps its length. An entry of the lexicon is a word, or a stem that a word
 begins with; entries and their weights (log odds) are learned from labelled rows. A hit within an exception phrase
-doesn't count. The weights of a text's hits are summed and also normalised by its number of words; a logistic
+doesn't count: a few are given, and others are learned (a hit's word with the word before or behind it, found in clean texts and never in
+a toxic one). The weights of a text's hits are summed and also normalised by its number of words; a logistic
 curve fitted to labelled rows turns both into a score from 0 to 1.
 
 Null and empty texts have no hits and get the score of such a text. Null ids, repeated rows and ties stay: every
-row is scored by itself. Without labelled rows the lexicon is empty and all scores equal. Other columns are not read.
+row is scored by itself, and whole, however long. An empty table gives no rows. Without labelled rows the lexicon is empty and all scores equal.
+Columns that are not kept are not read; a kept column must not be named `score`.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.columns import packed, unpacked
-from millrace.llm.learning import labelled_sample, logistic
+from millrace.llm.learning import held_out, labelled_sample, logistic
 from millrace.session import Stash
 
 #: Labelled rows used at most, for the lexicon and for the curve.
 TRAIN_ROWS = 20_000
-#: Terms considered and entries kept at most; both bounds keep what is broadcast small.
-CANDIDATES, ENTRIES = 20_000, 500
-#: Least log odds of an entry, and lengths of stems.
-LEAST, STEMS = 3.0, (4, 5, 6, 8)
+#: Toxic texts that a term must be in, and its least log odds, to be an entry; and lengths of stems.
+OFTEN, LEAST, STEMS = 3, 3.0, (4, 5, 6, 8)
+#: Clean texts that a phrase must be in to be learned as an exception.
+EXCEPTION_TEXTS = 3
 
 #: Letters that look like Latin ones, and digits that stand for letters.
 LOOKALIKE = dict(zip("аеорсухіјѕԁһӏвкмнтαοεικνρτυχ", "aeopcyxijsdhlbkmhtaoeiknptux", strict=True))
@@ -47,7 +49,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
-    out = text.lower().translate(_TABLE)
+    out = text.replace("\u0130", "i").lower().translate(_TABLE)  # the one letter that lower() makes longer
     if "@" in out or "$" in out or "!" in out:
         out = _SIGN.sub(lambda m: "".join(SIGNS[c] for c in m[0]), out)
     return out
@@ -62,20 +64,16 @@ def terms_of(text: str) -> set[str]:
     return out
 
 
-def _term_counts(wanted=None):
-    def run(batches):
-        seen: Counter = Counter()
-        known = wanted.value if wanted else None
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                got = terms_of(text or "")
-                seen.update(got if known is None else got & known)
+def _term_counts(batches):
+    seen: Counter = Counter()
+    flush = lambda: pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+    for b in batches:
+        for text in b.column("text").to_pylist():
+            seen.update(terms_of(text or ""))
             if len(seen) > 500_000:
-                yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+                yield flush()
                 seen.clear()
-        yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-
-    return run
+    yield flush()
 
 
 def _contexts(wanted):
@@ -108,41 +106,72 @@ def _surplus(n: int, others: int, share: float) -> float:
     return out + others * math.log((1 - p) / (1 - share)) if others else out
 
 
-def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Entry (a word, or a stem with a star) to weight.
+def distinct_texts(sample: DataFrame, stash: Stash) -> DataFrame:
+    """(text, y) of each text once; a text is toxic if any of its labels says so."""
+    one = sample.filter(F.col("text").isNotNull()).groupBy(F.md5("text").alias("k")).agg(F.first("text").alias("text"), F.max("y").alias("y"))
+    return stash.put(one.select("text", "y"))
+
+
+def learn_lexicon(distinct: DataFrame) -> dict[str, float]:
+    """Entry (a word, or a stem with a star) to weight, from distinct_texts().
 
     An entry's log odds are at least LEAST, and chance alone would hardly have made its share among as many terms. Its
     finds count by the different words before them, so that copies of a toxic text don't make its plain words toxic. A stem
-    goes before longer ones and the words it begins.
+    goes before longer ones and the words it begins. All terms are considered and all that pass are kept: the sample's bound is theirs.
     """
-    spark = sample.sparkSession
-    distinct = sample.filter(F.col("text").isNotNull()).groupBy(F.md5("text").alias("k")).agg(F.first("text").alias("text"), F.max("y").alias("y"))
-    stash = Stash(spark, "toxicity")
-    distinct = stash.put(distinct.select("text", "y"))
     size = {r["y"]: r["count"] for r in distinct.groupBy("y").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
     if not pos or not neg:
         return {}
-    counts = lambda df, wanted=None: df.select("text").mapInArrow(_term_counts(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    often = counts(distinct.filter("y = 1")).filter("n >= 3").orderBy(F.desc("n"), "term").limit(4 * CANDIDATES).collect()
-    often = {r["term"]: r["n"] for r in often}
-    wanted = spark.sparkContext.broadcast(set(often))
-    others = {r["term"]: r["n"] for r in counts(distinct.filter("y = 0"), wanted).collect()}
-    share, least = pos / (pos + neg), math.log(max(1, len(often))) + 2
-    odds = {t: math.log((n + 0.5) / (pos - n + 0.5)) - math.log((others.get(t, 0) + 0.5) / (neg - others.get(t, 0) + 0.5)) for t, n in often.items()}
-    good = [t for t in odds if odds[t] >= LEAST and _surplus(often[t], others.get(t, 0), share) >= least]
-    good = set(sorted(good, key=lambda t: (-often[t], t))[:CANDIDATES])
-    seen = distinct.filter("y = 1").select("text").mapInArrow(_contexts(spark.sparkContext.broadcast(good)), "term string, c long")
+    counts = lambda y, n: distinct.filter(F.col("y") == y).select("text").mapInArrow(_term_counts, f"term string, {n} long").groupBy("term").agg(F.sum(n).alias(n))
+    often = counts(1, "n").filter(F.col("n") >= OFTEN)
+    rows = often.join(counts(0, "n").withColumnRenamed("n", "m"), "term", "left").fillna(0, ["m"])
+    odds = F.log((F.col("n") + 0.5) / (pos - F.col("n") + 0.5)) - F.log((F.col("m") + 0.5) / (neg - F.col("m") + 0.5))
+    known = rows.withColumn("odds", odds)
+    totals = known.agg(F.count("*").alias("terms")).first()
+    share, least = pos / (pos + neg), math.log(max(1, totals["terms"])) + 2
+    likely = known.filter(F.col("odds") >= LEAST).collect()
+    good = {r["term"]: r for r in likely if _surplus(r["n"], r["m"], share) >= least}
+    seen = distinct.filter("y = 1").select("text").mapInArrow(_contexts(distinct.sparkSession.sparkContext.broadcast(set(good))), "term string, c long")
     found = {r["term"]: r["n"] for r in seen.groupBy("term").agg(F.countDistinct("c").alias("n")).collect()}
-    stash.drop(distinct)
     out: dict[str, float] = {}
     for t in sorted(good, key=lambda t: (len(t.rstrip("*")), not t.endswith("*"), t)):
         word = t.rstrip("*")
-        if len(out) < ENTRIES and _surplus(max(1, min(often[t], found.get(t, 0))), others.get(t, 0), share) >= least and not any(word[:n] + "*" in out for n in STEMS if n <= len(word)):
-            out[t] = odds[t]
+        if _surplus(max(1, min(good[t]["n"], found.get(t, 0))), good[t]["m"], share) >= least and not any(word[:n] + "*" in out for n in STEMS if n <= len(word)):
+            out[t] = good[t]["odds"]
     return out
 
 
+def _phrases(lexicon, exceptions):
+    """Each text's phrases of a hit's word with its neighbour: (phrase, toxic texts, clean texts)."""
+
+    def run(batches):
+        m = Matcher(lexicon.value, exceptions)
+        for b in batches:
+            toxic, clean = Counter(), Counter()
+            for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
+                text, mine = fold(text), set()
+                for a, e, _ in m.hits(text):
+                    while e < len(text) and text[e].isalpha():
+                        e += 1
+                    before, behind = re.search(r"[^\W\d_]+ $", text[max(0, a - 40) : a]), re.match(r" [^\W\d_]+", text[e : e + 40])
+                    mine |= {x for x in (before and before[0] + text[a:e], behind and text[a:e] + behind[0]) if x}
+                (toxic if y else clean).update(mine)
+            names = list(toxic | clean)
+            yield pa.RecordBatch.from_pydict({"phrase": pa.array(names, pa.string()), "bad": pa.array([toxic[x] for x in names], pa.int64()), "good": pa.array([clean[x] for x in names], pa.int64())})
+
+    return run
+
+
+def learn_exceptions(distinct: DataFrame, lexicon: dict[str, float], least: int = EXCEPTION_TEXTS) -> tuple[str, ...]:
+    """The given phrases, and those around a hit that `least` clean texts hold and no toxic one."""
+    if not lexicon:
+        return EXCEPTIONS
+    rows = distinct.mapInArrow(_phrases(distinct.sparkSession.sparkContext.broadcast(lexicon), EXCEPTIONS), "phrase string, bad long, good long")
+    found = rows.groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter((F.col("bad") == 0) & (F.col("good") >= least))
+    return (*EXCEPTIONS, *sorted(r["phrase"] for r in found.collect()))  # the bounded sample's
+
+
 class Matcher:
     """The automaton of a lexicon and its exception phrases."""
 
@@ -203,30 +232,30 @@ def _score(lexicon, exceptions, weights, names):
     return run
 
 
-def fit(sample: DataFrame) -> tuple[dict[str, float], np.ndarray]:
-    """Lexicon and curve from (text, y) rows of a bounded sample."""
+def fit(sample: DataFrame) -> tuple[dict[str, float], tuple[str, ...], np.ndarray]:
+    """Lexicon, exception phrases and curve from (text, y) rows of a bounded sample."""
     stash = Stash(sample.sparkSession, "toxicity")
     sample = stash.put(sample.select("text", F.col("y").cast("int").alias("y")))
-    lexicon = learn_lexicon(sample)
+    distinct = distinct_texts(sample, stash)
+    lexicon = learn_lexicon(distinct)
+    exceptions = learn_exceptions(distinct, lexicon)
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
-    rows = sample.mapInArrow(_features(shared, EXCEPTIONS), "y int, a double, b double").collect()  # at most TRAIN_ROWS
+    rows = sample.mapInArrow(_features(shared, exceptions), "y int, a double, b double").collect()  # at most TRAIN_ROWS
     x = np.array([(r["a"], r["b"]) for r in rows]).reshape(-1, 2)
-    stash.drop(sample)
-    return lexicon, logistic(x, np.array([r["y"] for r in rows], float))
+    stash.drop(sample, distinct)
+    return lexicon, exceptions, logistic(x, np.array([r["y"] for r in rows], float))
 
 
-def score_toxicity(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",), exceptions=EXCEPTIONS) -> DataFrame:
+def score_toxicity(docs: DataFrame, lexicon: dict[str, float], exceptions: tuple[str, ...], weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in `keep` and `score`, row by row."""
+    if "score" in keep:
+        raise ValueError("a column to keep clashes with `score`")
     names = list(dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     return docs.select(*names).mapInArrow(_score(shared, exceptions, np.asarray(weights), names), f"{schema}, score double").select(*keep, "score")
 
 
-def held_out(doc_id="doc_id"):
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(5)) == 0
-
-
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS):
     return fit(labelled_sample(docs, labels, "toxic", rows, where=~held_out()))
 
@@ -234,14 +263,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS):
 def op8_toxicity(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    lexicon, weights = train(docs, labels)
-    scored = score_toxicity(docs, lexicon, weights)
+    scored = score_toxicity(docs, *train(docs, labels))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(spark, docs, sf_dir, threshold: float = 0.5):
-    """Pipeline stage: documents scored toxic go; all others stay as they are."""
+    """Pipeline stage: documents scored toxic go; all others stay as they are, nulls, empty texts and repeated rows included.
+
+    Equal texts have equal scores, so ties go or stay together. An empty table gives no rows; other columns pass through, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    lexicon, weights = train(docs, labels)
-    scored = score_toxicity(packed(docs), lexicon, weights, keep=("doc_id", "text", "_rest"))
+    scored = score_toxicity(packed(docs), *train(docs, labels), keep=("doc_id", "text", "_rest"))
     return unpacked(scored.filter(F.col("score") < threshold), docs.columns)
