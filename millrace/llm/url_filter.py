@@ -5,8 +5,10 @@ all URLs pick the rarest token of each rule; a URL's tokens fetch candidate rule
 candidates run their expression. All of it is DataFrame expressions.
 
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased. Path: then up to `?`, `#` or the
-end. A null URL, or one without `://`, has both empty, fits no rule, and gets the default verdict. Rows keep
-their other columns; repeated rows and ties stay as they are (a longer rule wins, then block, then the name).
+end. A null URL, or one without `://`, has both empty, fits no rule, and gets the default verdict. URLs count whole, however long; every
+expression takes time in proportion to a URL's length. Rows keep their other columns, whatever their names, but for columns called host, path, rule or
+verdict (in any case): the result's take their place. Repeated rows and ties stay as they are (a longer rule wins, then block, then the name). An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,23 +100,14 @@ def filter_urls(pages: DataFrame, rules=RULES, words=WORDS, url: str = "url", de
     for r in all_rules:
         if not r.tokens:
             raise ValueError(f"rule {r.name} has no literal token to index it by")
-    clash = [c for c in pages.columns if c.lower() in ("host", "path", "rule", "verdict")]
-    pages = pages.drop(*clash)
-    keyed = with_parts(pages, url, "_host", "_path").withColumn("_key", F.concat("_host", "_path"))
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    rest = F.struct(*(F.col(f"`{c}`") for c in kept)) if kept else F.lit(None).cast("int")  # names of its own can't clash with the table's
+    keyed = with_parts(pages.select(F.col(f"`{url}`").alias("_url"), rest.alias("_rest")), "_url", "_host", "_path").withColumn("_key", F.concat("_host", "_path"))
     by = rarest(keyed.select(tokens_of(F.col("_key")).alias("tokens")), all_rules)
-    if len(all_rules) <= inline:
-        index: dict[str, list[Column]] = {}
-        for r, t in by.items():
-            index.setdefault(t, []).append(_entry(r))
-        table = F.create_map(*(x for t, rs in index.items() for x in (F.lit(t), F.array(*rs))))
-        found = F.filter(tokens_of(F.col("_key")), lambda t: t.isin(list(index)))
-        hits = F.filter(F.flatten(F.transform(found, lambda t: table[t])), lambda r: F.regexp_like(F.col("_key"), r["regex"]))
-        out = keyed.withColumn("_hits", hits)
-    else:
-        out = _joined(keyed, by)
+    out = keyed.withColumn("_hits", _inlined(by)) if len(all_rules) <= inline else _joined(keyed, by)
     out = out.withColumn("_best", _best(F.filter("_hits", lambda r: r["named"]))).withColumn("_own", _best(F.filter("_hits", lambda r: ~r["named"])))
     return out.select(
-        *pages.columns,
+        *(F.col("_rest").getField(c).alias(c) for c in kept),
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         F.col("_best")["name"].alias("rule"),
@@ -122,6 +115,29 @@ def filter_urls(pages: DataFrame, rules=RULES, words=WORDS, url: str = "url", de
     )
 
 
+_HITS = "array<struct<regex:string,name:string,verdict:string,named:boolean>>"
+
+
+def _inlined(by: dict[UrlRule, str]) -> Column:
+    """The hits of the rules that a key's tokens fetch. Each rule's expression is a literal, so it is compiled once a task."""
+    index: dict[str, list[UrlRule]] = {}
+    for r, t in by.items():
+        index.setdefault(t, []).append(r)
+    if not index:
+        return F.array().cast(_HITS)
+    key = F.col("_key")
+
+    def fetched(t):
+        out = None
+        for token, rs in index.items():
+            hits = F.array(*(F.when(F.rlike(key, F.lit(r.regex)), _entry(r)) for r in rs))
+            out = F.when(t == token, hits) if out is None else out.when(t == token, hits)
+        return out
+
+    found = F.filter(tokens_of(key), lambda t: t.isin(list(index)))
+    return F.filter(F.flatten(F.transform(found, fetched)), lambda r: r.isNotNull())
+
+
 def _joined(keyed: DataFrame, by: dict[UrlRule, str]) -> DataFrame:
     """The same for many rules: distinct keys meet the index by token in a shuffle join, which AQE splits where a token is hot."""
     spark = keyed.sparkSession
@@ -129,8 +145,7 @@ def _joined(keyed: DataFrame, by: dict[UrlRule, str]) -> DataFrame:
     keys = keyed.select("_key").distinct()
     found = keys.select("_key", F.explode(tokens_of(F.col("_key"))).alias("token")).join(index, "token").filter(F.regexp_like("_key", F.col("regex")))
     hits = found.groupBy("_key").agg(F.collect_set(F.struct("regex", "name", "verdict", "named")).alias("_hits"))
-    empty = F.array().cast("array<struct<regex:string,name:string,verdict:string,named:boolean>>")
-    return keyed.join(hits, "_key", "left").withColumn("_hits", F.coalesce("_hits", empty))
+    return keyed.join(hits, "_key", "left").withColumn("_hits", F.coalesce("_hits", F.array().cast(_HITS)))
 
 
 def op7_url_filter(spark, sf_dir):
