@@ -34,23 +34,53 @@ def attribute_map(eav: DataFrame, ident: str, names: DataFrame, code: str = "att
     return one.groupBy(ident).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "value")))).alias("attributes"))
 
 
+def ancestors(nodes: DataFrame, child: str, parent: str, guard: int = 50) -> DataFrame:
+    """(node, up): each node's ancestors, the nearest first, at most `guard` and one more if there are more; a parent that is no child of its own row ends the way.
+
+    By doubling: each round joins the ways so far to themselves and is written to the shared folder, so a hierarchy of any size takes a handful of joins. A child
+    with several parents goes by the least. A way through a cycle goes round it, up to the guard.
+    """
+    from millrace.session import Stash
+
+    stash = Stash(nodes.sparkSession, "ancestors")
+    one = nodes.select(F.col(child).cast("string").alias("node"), F.col(parent).cast("string").alias("up")).filter("node is not null").groupBy("node").agg(F.min("up").alias("up"))
+    known = one.select(F.col("node").alias("up"))
+    empty = F.array().cast("array<string>")
+    ways = one.join(known, "up", "left_semi").select("node", F.array("up").alias("up")).unionByName(one.join(known, "up", "left_anti").select("node", empty.alias("up")))
+    ways, length = stash.put(ways), 1
+    while length <= guard:
+        full = F.size("up") == length
+        longer = ways.filter(full).withColumn("_last", F.element_at("up", -1)).join(ways.select(F.col("node").alias("_last"), F.col("up").alias("_more")), "_last")
+        longer = longer.select("node", F.slice(F.concat("up", "_more"), 1, guard + 1).alias("up"))
+        now = stash.put(ways.filter(~full).unionByName(longer))
+        stash.drop(ways)
+        ways, length = now, 2 * length
+        if ways.filter(F.size("up") == length).isEmpty():
+            break
+    return ways
+
+
 def paths_to_root(nodes: DataFrame, child: str, parent: str, guard: int = 50) -> DataFrame:
-    """Each node's path from its root, depth, and `cut` where the guard or a cycle ended it; a recursive query in the engine."""
-    view = f"hierarchy_{abs(hash((child, parent, id(nodes))))}"
-    nodes.select(F.col(child).cast("string").alias("child"), F.col(parent).cast("string").alias("parent")).createOrReplaceTempView(view)
-    rows = nodes.sparkSession.sql(
-        f"""
-        WITH RECURSIVE up(node, at, trail, depth, cut) MAX RECURSION LEVEL {guard + 2} AS (
-          SELECT child, parent, array(child), 0, false FROM {view}
-          UNION ALL
-          SELECT u.node, v.parent, array_prepend(u.trail, v.child), u.depth + 1, coalesce(array_contains(u.trail, v.parent), false) OR u.depth + 1 >= {guard}
-          FROM up u JOIN {view} v ON u.at = v.child WHERE NOT u.cut
-        )
-        SELECT node, at, trail, depth, cut FROM up
-        """
-    )
-    last = rows.groupBy("node").agg(F.max(F.struct("depth", "trail", "at", "cut")).alias("m"))
-    return last.select("node", F.array_join("m.trail", "/").alias("path"), F.col("m.depth").alias("depth"), F.col("m.cut").alias("cut"))
+    """Each node's path from its root, depth, and `cut` where the guard or a cycle ended it (a path holds a node once)."""
+    ways = ancestors(nodes, child, parent, guard)
+    trail = F.concat(F.array("node"), "up")
+    # Up to the first node that the way has met before.
+    new = F.filter(F.sequence(F.lit(1), F.size("trail")), lambda i: F.array_position(F.col("trail"), F.element_at(F.col("trail"), i)) < i)
+    rows = ways.select("node", trail.alias("trail")).withColumn("again", F.get(new, F.lit(0)))
+    rows = rows.withColumn("kept", F.slice("trail", F.lit(1), F.least(F.coalesce(F.col("again") - 1, F.size("trail")), F.lit(guard + 1))))
+    cut = F.col("again").isNotNull() | (F.size("trail") > guard)
+    return rows.select("node", F.array_join(F.reverse("kept"), "/").alias("path"), (F.size("kept") - 1).alias("depth"), cut.alias("cut"))
+
+
+def descendants(nodes: DataFrame, child: str, parent: str, guard: int = 50) -> DataFrame:
+    """(node, depth, n_descendants, n_leaves) of every node: how far it lies below its root, and what lies below it, each counted once, up to the guard."""
+    ways = ancestors(nodes, child, parent, guard).withColumn("up", F.array_except("up", F.array("node")))  # distinct, and a cycle doesn't lead to itself
+    inner = nodes.select(F.col(parent).cast("string").alias("node")).distinct()
+    tips = ways.join(inner, "node", "left_anti").select("node").withColumn("tip", F.lit(1))
+    below = ways.join(tips, "node", "left").select(F.explode("up").alias("node"), F.coalesce("tip", F.lit(0)).alias("tip"))
+    counts = below.groupBy("node").agg(F.count("*").alias("n"), F.sum("tip").alias("t"))
+    out = ways.select("node", F.size("up").alias("depth")).join(counts, "node", "left")
+    return out.select("node", "depth", F.coalesce("n", F.lit(0)).alias("n_descendants"), F.coalesce("t", F.lit(0)).alias("n_leaves"))
 
 
 def leaves(nodes: DataFrame, child: str, parent: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Patterns of personal data (no look-around, so that any engine can run them).
 EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]"
-PHONE = r"\+?[0-9][0-9()-]*[ -][0-9][0-9 ()-]{5,}[0-9]"
+PHONE = r"\+?[0-9][0-9()-]{0,15}[ -][0-9][0-9 ()-]{5,24}[0-9]"
 
 
 def mask(text: Column, patterns: dict[str, str]) -> Column:

@@ -84,15 +84,27 @@ def guard_path(path: str, allowed: list[str]) -> str:
     return path
 
 
-_WRITES = re.compile(r"\b(insert|update|delete|drop|alter|create|truncate|merge|exec|execute|grant|revoke|into)\b", re.I)
+#: Verbs that change something.
+VERBS = ("insert", "update", "delete", "merge", "drop", "alter", "create", "truncate", "exec", "execute", "grant", "revoke", "deny")
+
+_QUIET = re.compile(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", re.S)
+_NAMED = re.compile(r'\[([^\]]*)\]|"([^"]*)"')
+_INDEX = r"(?:unique\s+)?(?:(?:non)?clustered\s+)?index"
+#: What may follow a verb: the object that is written, which must be a temporary one. Other verbs may not be used at all.
+_ALLOWED = {"insert": r"(?:into\s+)?#", "create": rf"(?:table\s+#|{_INDEX}\s+\w+\s+on\s+#)", "drop": rf"(?:table\s+(?:if\s+exists\s+)?#|{_INDEX}\s+\w+\s+on\s+#)", "alter": r"table\s+#", "truncate": r"table\s+#"}
 
 
 def guard_sql(sql: str) -> str:
-    """The text, if it only reads; statements on temporary tables (#name) may write."""
-    bare = re.sub(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S)
-    for statement in bare.split(";"):
-        if _WRITES.search(statement) and not re.search(r"#\w+", statement):
-            raise PermissionError(f"only SELECT, and temporary tables: {statement.strip()[:80]}")
+    """The text, if it only reads, or what it writes is a temporary table (#name): by the object behind each verb, not by names elsewhere in the statement."""
+    bare = _NAMED.sub(lambda m: (m[1] or m[2] or "") if (m[1] or m[2] or "").startswith("#") else "q", _QUIET.sub(" ", sql))
+    for m in re.finditer(rf"\b({'|'.join(VERBS)}|into)\b\s*", bare, re.I):
+        verb, rest = m[1].lower(), bare[m.end() :]
+        if verb == "into":
+            fine = rest.startswith("#") or re.search(r"\binsert\s+$", bare[: m.start()], re.I)  # insert judges its own
+        else:
+            fine = verb in _ALLOWED and re.match(_ALLOWED[verb], rest, re.I)
+        if not fine:
+            raise PermissionError(f"only SELECT, and temporary tables: {bare[max(0, m.start() - 20) : m.end() + 60].strip()}")
     return sql
 
 

@@ -214,13 +214,101 @@ def test_scalars(spark):
     assert [r[0] for r in names.collect()] == ["jpg", "j###", "(none)", "p_*", "(other)", "(other)"]
     f = spark.createDataFrame([("4 1/2",), ("3/8",), ("4-1/4",), ("4.5",), ("1/0",), ("x",)], "s string").select(S.fraction(F.col("s")))
     assert [r[0] for r in f.collect()] == [4.5, 0.375, 4.25, 4.5, None, None]
-    assert one(spark, S.section_canon(F.lit("hss 6.00*4.0x0.250"))) == "HSS6x4x0.25"
+    sections = {"hss 6.00x4.0x0.250": "HSS6X4X0.25", "L4x3 1/2x3/8": "L4X3.5X0.375", "HSS12x12x1/2": "HSS12X12X0.5", "HSS12X12X.500": "HSS12X12X0.5", "PI8.625X0.375": "ROUND8.625X0.375", "TS4x4x1/4": "HSS4X4X0.25", "W30x99": "W30X99", "pl 2-1/2x7": "PL2.5X7", "W12 X a": "W12XA", "12x4": "12X4", "": "", "BEAM": "BEAM", "C10x1/0": "C10X1/0"}
+    got = spark.createDataFrame([(k, v) for k, v in sections.items()], "s string, want string").select("want", S.section_canon(F.col("s")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
     assert one(spark, S.canon_name(F.lit("B'eam \\X2\\00E4\\X0\\ \\X\\41"), escapes=True)) == "beamäa"
+    coded = {"a\\X2\\00E400DF\\X0\\b": "aäßb", "\\X2\\D83DDE00\\X0\\": "😀", "\\X4\\0001F600\\X0\\!": "😀!", "\\X\\E9t\\X\\E9": "été", "c:\\\\d": "c:\\d", "\\X2\\00E\\X0\\": "\\X2\\00E\\X0\\", "plain": "plain", "\\X2\\0041": "\\X2\\0041", "": ""}
+    got = spark.createDataFrame([(k, v) for k, v in coded.items()], "s string, want string").select("want", S.exchange_text(F.col("s")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    bores = [("0.125", "in", 6.0), ("3.5", "inch", 90.0), ("14", '"', 350.0), ("24.0004", " IN ", 600.0), ("7", "in", 175.0), ("88.94", "mm", 88.9), ("0", "in", None), ("x", "in", None), (None, "in", None), ("5", None, 5.0)]
+    got = spark.createDataFrame(bores, "v string, u string, want double").select("want", S.bore_mm(F.col("v"), F.col("u")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    kinds = spark.createDataFrame([("tsc",), ("stp",), ("p_*",), ("j###",), ("pdf",), ("zzz",), (None,)], "e string").select(S.category_of(F.col("e")))
+    assert [r[0] for r in kinds.collect()] == ["Tekla model files", "3D model", "Tekla model files", "Tekla model files", "PDF", "Other", "Other"]
+    assert one(spark, S.category_of(F.lit("x"), {"x": "mine"})) == "mine"
     assert one(spark, S.round_sig(F.lit(123456.789), 3)) == 123000.0
     assert len(one(spark, S.safe_component(F.lit("a b" * 60), 40))) == 40
     assert one(spark, S.key_kind(F.lit("sha256:ff"))) == "marker" and one(spark, S.key_kind(F.lit(""))) == "empty" and one(spark, S.key_kind(F.lit("k"))) == "real"
     assert one(spark, S.first_match([(F.lit(True), "a"), (F.lit(True), "b")])) == "a"
     assert one(spark, S.shoelace(F.array(*map(F.lit, (0.0, 2.0, 2.0, 0.0))), F.array(*map(F.lit, (0.0, 0.0, 3.0, 3.0))))) == 6.0
     assert one(spark, S.base64_to_hex(F.lit("/w=="))) == "ff" and one(spark, S.inch_to_dn(F.lit(2))) == 50
-    dims = F.struct(*(F.lit(v).cast("double").alias(k) for k, v in {"x": 2, "y": 3, "r": 1, "w": 0.5, "b": None, "h": None, "tw": None, "tf": None, "fr": None, "girth": None}.items()))
-    assert one(spark, S.profile_area(F.lit("Rectangle"), dims)) == 6.0 and abs(one(spark, S.profile_area(F.lit("CircleHollow"), dims)) - 2.356194) < 1e-5
+
+
+def test_profile_areas(spark):
+    import math
+
+    v = {"x": 20, "y": 30, "r": 10, "w": 2, "b": 40, "h": 100, "tw": 3, "tf": 5, "fillet": 4, "outer": 6, "inner": 4, "girth": 7}
+    dims = {k: F.lit(float(x)) for k, x in v.items()}
+    want = {"Rectangle": 600, "RectangleHollow": 600 - 16 * 26 - (4 - math.pi) * 20, "Circle": 100 * math.pi, "CircleHollow": 36 * math.pi, "I": 400 + 90 * 3 + (4 - math.pi) * 16, "L": 2 * 138 + (1 - math.pi / 4) * 16, "U": 670, "T": 200 + 95 * 3 + (2 - math.pi / 2) * 16, "C": 2 * (100 + 80 + 14 - 8), "Z": 670, "Other": None}
+    for kind, area in want.items():
+        got = one(spark, S.profile_area(F.lit(kind), dims))
+        assert got == area if area is None else abs(got - area) < 1e-9, kind
+    for slope in ("flange_slope", "web_slope"):
+        assert one(spark, S.profile_area(F.lit("T"), dims | {slope: F.lit(0.1)})) == 485
+    assert one(spark, S.profile_area(F.lit("L"), {k: dims[k] for k in ("h", "w")})) == 2 * 198
+    assert one(spark, S.profile_area(F.lit("I"), {})) is None
+
+
+def test_small_functions(spark):
+    assert one(spark, S.expected_measure(F.lit(5.0), F.lit(7.0), F.lit(1), F.lit("T"))) == 7.0 and one(spark, S.expected_measure(F.lit(5.0), F.lit(7.0), F.lit(2), F.lit("T"))) == 5.0
+    assert one(spark, S.expected_measure(F.lit(0.0), F.lit(7.0), F.lit(2), F.lit("I"))) == 7.0
+    assert one(spark, S.token(F.lit("a.b.c"), 1)) == "c" and one(spark, S.token(F.lit("a.b.c"), 4)) is None
+    now = F.to_timestamp(F.lit("2024-01-01 00:10:00"))
+    assert one(spark, S.fresh(F.to_timestamp(F.lit("2024-01-01 00:00:00")), 601, now)) and not one(spark, S.fresh(F.to_timestamp(F.lit("2024-01-01 00:00:00")), 600, now))
+    import zlib
+
+    assert one(spark, S.shard_of(F.lit("key"), 7)) == zlib.crc32(b"key") % 7
+    turned = one(spark, S.rotate_z(F.array(*map(F.lit, (1.0, 0.0, 5.0))), F.radians(F.lit(90.0))))
+    assert abs(turned[0]) < 1e-12 and abs(turned[1] - 1) < 1e-12 and turned[2] == 5.0
+    assert [one(spark, grade.level_rank(F.lit(x))) for x in grade.LEVELS] == [1, 2, 3]
+
+
+def test_typed_union_and_text_records(spark):
+    a, b = spark.createDataFrame([(1, 2, 3, 4.5)], "oid int, iid int, dispid int, value double"), spark.createDataFrame([(1, 2, 4, "x")], "oid int, iid int, dispid int, value string")
+    assert sorted((r.type, r.value) for r in graph.union_typed({"num": a, "str": b}).collect()) == [("num", "4.5"), ("str", "x")]
+    rows = [(1, i, x) for i, x in enumerate(["head", "  a", "  b", "next", "  c"])]
+    got = text.record_blocks(spark.createDataFrame(rows, "f int, i int, line string"), ["f"], "i", "line").orderBy("i").collect()
+    assert [r.block for r in got] == [1, 1, 1, 2, 2]
+    rows = [(1, i, x) for i, x in enumerate(["x", "BEGIN", "a", "b", "END", "y", "BEGIN", "c"])]
+    got = text.bracketed(spark.createDataFrame(rows, "f int, i int, line string"), ["f"], "i", "line", "BEGIN", "END").orderBy("i").collect()
+    assert [r.line for r in got] == ["a", "b", "c"]
+
+
+def test_phone_pattern_is_linear(spark):
+    import time
+
+    t = time.time()
+    assert one(spark, F.length(text.mask(F.lit("1" * 200_000 + " x"), {"PHONE": text.PHONE}))) == 200_002
+    assert time.time() - t < 20
+    assert one(spark, text.mask(F.lit("call +49 30 1234-5678 now"), {"PHONE": text.PHONE})) == "call [PHONE] now"
+
+
+def test_descendants(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(i) if i and rng.random() < 0.9 else None) for i in range(120)] + [(200, 201), (201, 200)]
+    got = {int(r.node): (r.depth, r.n_descendants, r.n_leaves) for r in graph.descendants(spark.createDataFrame(rows, "c int, p int"), "c", "p").collect()}
+    up = dict(rows)
+
+    def way(i):
+        out = []
+        while up.get(i) is not None and up[i] in up and up[i] not in out:
+            i = up[i]
+            out.append(i)
+        return out
+
+    inner = set(up.values())
+    for i in up:
+        own = [j for j in up if i in way(j) and j != i]
+        assert got[i] == (len([x for x in way(i) if x != i]), len(own), sum(j not in inner for j in own))
+
+
+def test_a_large_hierarchy(spark):
+    """More rows than a recursive query may make."""
+    n = 400_000
+    nodes = spark.range(n).select(F.col("id").alias("c"), F.when(F.col("id") > 0, F.floor((F.col("id") - 1) / 3)).alias("p"))
+    got = graph.paths_to_root(nodes, "c", "p").agg(F.count("*"), F.max("depth"), F.sum("depth"), F.max(F.col("cut").cast("int"))).first()
+    depth = [0] * n
+    for i in range(1, n):
+        depth[i] = depth[(i - 1) // 3] + 1
+    assert tuple(got) == (n, max(depth), sum(depth), 0) and sum(depth) > 1_000_000

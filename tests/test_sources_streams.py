@@ -32,7 +32,9 @@ def test_guards():
         with pytest.raises(PermissionError):
             io.guard_path(bad, ["/out/x"])
     assert io.guard_sql("select 'drop table t' from x -- delete\n; insert into #tmp select 1")
-    for bad in ("delete from t", "select 1; drop table t", "select * into t from x"):
+    for good in ("select * into #t from x", "create table #t (a int); insert #t select 1; insert into [#t] values (2); drop table if exists #t", "create nonclustered index i on #t (a)", "truncate table #t", "select [delete], \"into\" from x", "select a from #t where b in (select c from real)"):
+        assert io.guard_sql(good) == good
+    for bad in ("delete from t", "select 1; drop table t", "select * into t from x", "DELETE FROM real WHERE id IN (SELECT id FROM #t)", "insert into real select * from #t", "insert real select * from #t", "deny select on #t to x", "exec sp_x #t", "create view v as select * from #t", "create index i on real (a) -- #t", "update #t set a = 1", "merge real using #t on 1 = 1", "select * into [real] from #t"):
         with pytest.raises(PermissionError):
             io.guard_sql(bad)
 
