@@ -44,13 +44,52 @@ def invariants(checks: list[tuple[str, DataFrame]], group: str, example: str, mo
 
 
 def content_dedup(rows: DataFrame, content: list[str], order: list[Column], ident: str) -> DataFrame:
-    """Of equal contents the first by `order` stays; it keeps count and sorted ids of those dropped.
+    """Of equal contents the first by `order` stays: each row with keep_id (the one that stays), n_copies, and whether it is `kept`.
 
-    Aggregates only (the least struct, then the ids), so copies combine before the shuffle.
+    A back-reference is a row, so no list grows with the copies; the choice is an aggregate, where copies combine before the shuffle.
     """
     key = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(ident).alias("id"))
-    agg = rows.groupBy(*content).agg(F.min(key).alias("m"), F.count("*").alias("n_copies"), F.array_sort(F.collect_list(ident)).alias("ids"))
-    return agg.select(*content, F.col("m.id").alias("keep_id"), "n_copies", F.array_remove("ids", F.col("m.id")).alias("dropped"))
+    heads = rows.groupBy(*content).agg(F.min(key).alias("_m"), F.count("*").alias("n_copies"))
+    heads = heads.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(content)), F.col("_m.id").alias("keep_id"), "n_copies")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(content)))
+    out = rows.join(heads, same).select(*rows.columns, "keep_id", "n_copies")
+    return out.withColumn("kept", F.col(ident) == F.col("keep_id"))
+
+
+def shortfalls(rows: DataFrame, by: list[str], ident: str, own: Column, most: int = 50) -> DataFrame:
+    """Groups of shortfalls: n, the first ids (at most `most`), and pos: the source's own (`own`) last, the others by size."""
+    rn = F.row_number().over(Window.partitionBy(*by).orderBy(ident))
+    counts = rows.groupBy(*by).agg(F.count("*").alias("n"), F.bool_or(own).alias("_own"))
+    firsts = rows.withColumn("_rn", rn).filter(F.col("_rn") <= most).groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(ident)), ",").alias("ids"))
+    pos = F.row_number().over(Window.orderBy("_own", F.desc("n"), *by))  # a row for each group
+    return counts.join(firsts, by).withColumn("pos", pos).drop("_own")
+
+
+def refresh_plan(source: DataFrame, copies: DataFrame, key: str, project: str, at: str = "modified", size: str = "size") -> DataFrame:
+    """(project, key, state) of each copy: missing (no source), stale (the source is newer, or its size differs) or fresh."""
+    a = source.select(key, F.col(at).alias("_sa"), F.col(size).alias("_ss"))
+    out = copies.select(project, key, F.col(at).alias("_ca"), F.col(size).alias("_cs")).join(a, key, "left")
+    stale = F.coalesce(F.col("_sa") > F.col("_ca"), F.lit(False)) | ~F.col("_ss").eqNullSafe(F.col("_cs"))
+    return out.select(project, key, F.when(F.col("_ss").isNull() & F.col("_sa").isNull(), "missing").when(stale, "stale").otherwise("fresh").alias("state"))
+
+
+def residual(packages: DataFrame, mapped: DataFrame, later: DataFrame, source: str) -> DataFrame:
+    """Why a package's contents are or are not on a later disk, by its source's identity; adds `reason`.
+
+    packages: source (null or empty: unknown), n_rows and other columns; mapped: source, rel and size; later: rel and size. One row a package.
+    """
+    m = mapped.groupBy(source).agg(F.min(F.struct("rel", "size")).alias("_m"))
+    t = later.groupBy("rel").agg(F.max("size").alias("_later")).withColumn("_there", F.lit(True))
+    out = packages.join(m, source, "left").withColumn("rel", F.col("_m.rel")).join(t, "rel", "left")
+    reason = (
+        F.when(F.coalesce("n_rows", F.lit(0)) == 0, "no_rows")
+        .when(F.coalesce(F.col(source), F.lit("")) == "", "unknown_source")
+        .when(F.col("_m").isNull(), "source_not_mapped")
+        .when(F.col("_there").isNull(), "not_on_later_disk")
+        .when(~F.col("_m.size").eqNullSafe(F.col("_later")), "later_copy_differs_size")
+        .otherwise("same_size_on_later_disk")
+    )
+    return out.withColumn("reason", reason).select(*packages.columns, "reason")
 
 
 def merge_split(parts: DataFrame, root: str, member: str, required: list[str]) -> DataFrame:

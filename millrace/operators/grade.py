@@ -130,3 +130,26 @@ def finding_policy(found: DataFrame, softened: dict[str, str], evidence: dict[st
             "evidence": F.coalesce(pick(evidence, F.col("code")), F.lit("integrity")),
         }
     )
+
+
+def fix_plan(issues: DataFrame, rules: list[tuple[str, str, str, str]], families: list[tuple[str, str, str, str]], group: str, default: tuple[str, str, str]) -> DataFrame:
+    """(needed, category, grp, n_models, n): what has to be done, from issues (model, type, n), the most parts first in `pos`.
+
+    rules: type, needed, category, and what the group is called after the issues' `group` column; families: the same by how a type begins; default: for all others. The first that fits counts.
+    """
+    def pick(i):
+        out = None
+        for cond, rule in [*((F.col("type") == r[0], r[1:]) for r in rules), *((F.startswith("type", F.lit(r[0])), r[1:]) for r in families)]:
+            out = F.when(cond, rule[i]) if out is None else out.when(cond, rule[i])
+        return F.lit(default[i]) if out is None else out.otherwise(default[i])
+
+    told = issues.select("model", "n", pick(0).alias("needed"), pick(1).alias("category"), F.concat_ws(" ", F.col(group), pick(2)).alias("grp"))
+    return told.groupBy("needed", "category", "grp").agg(F.countDistinct("model").alias("n_models"), F.sum("n").alias("n"))
+
+
+def class1_gate(found: DataFrame, verdicts: DataFrame, keys: list[str], tier: str = "tier") -> DataFrame:
+    """Adds class1_ok: verdict PASS or WARN, the highest tier (A), no failing finding, and no warning but the source's own or by design."""
+    bad = (F.col("level") == "FAIL") | ((F.col("level") == "WARN") & ~F.coalesce(F.lower("cause").isin("source", "by_design"), F.lit(False)))
+    agg = found.groupBy(*keys).agg(F.count(F.when(bad, 1)).alias("_bad"))
+    ok = F.coalesce(F.col("verdict").isin("PASS", "WARN") & (F.col(tier) == "A"), F.lit(False)) & (F.coalesce("_bad", F.lit(0)) == 0)
+    return verdicts.join(agg, keys, "left").withColumn("class1_ok", ok).drop("_bad")

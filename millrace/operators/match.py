@@ -2,38 +2,79 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import floor_ratio
+from millrace.operators.order import running
+from millrace.session import Stash
+
+
+def _known(keys: list[str], side: str) -> Column:
+    """Null keys meet nothing: they stay apart by side."""
+    none = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    return F.when(none, F.col(side)).alias("_apart")
+
 
+def _sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides, each in a struct of its own (l or r)."""
+    struct = lambda df, name: F.struct(*df.columns).alias(name)
+    a, b = left.select(*keys, struct(left, "l")), right.select(*keys, struct(right, "r"))
+    return a.withColumn("r", F.lit(None).cast(b.schema["r"].dataType)).unionByName(b.withColumn("l", F.lit(None).cast(a.schema["l"].dataType)))
 
-def _numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in order))))
+
+def _paired(both: DataFrame, keys: list[str], order: list[Column], equal: bool) -> DataFrame:
+    """Pairs by place: rows are dealt by their keys once, and numbered, counted and paired there."""
+    rows = both.repartition(*keys).withColumn("_left", F.col("l").isNotNull())
+    rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy(*keys, "_left").orderBy(*order)))
+    if equal:
+        n = lambda c: F.count(F.when(c, 1)).over(Window.partitionBy(*keys))
+        rows = rows.withColumns({"_nl": n(F.col("_left")), "_nr": n(~F.col("_left"))}).filter("_nl = _nr")
+    one = lambda c: F.first(c, ignorenulls=True).alias(c)
+    return rows.groupBy(*keys, "rn", _known(keys, "_left")).agg(one("l"), one("r")).select(*keys, "rn", "l", "r")
 
 
 def bag_match(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[str], right_order: list[str], how: str = "full") -> DataFrame:
-    """Pairs rows of equal keys one to one, in each side's order; every right row is used once at most.
+    """Pairs rows of equal keys one to one, in each side's order; every right row is used once at most. how: full, left or inner.
 
     Columns: keys, rn, l (struct of the left row), r (struct of the right row). A side without a partner is null.
     """
-    a = _numbered(left, keys, left_order).select(*keys, "rn", F.struct(*left.columns).alias("l"))
-    b = _numbered(right, keys, right_order).select(*keys, "rn", F.struct(*right.columns).alias("r"))
-    return a.join(b, [*keys, "rn"], how)
+    order = [F.col(f"{s}.{c}").asc_nulls_last() for s, cs in (("l", left_order), ("r", right_order)) for c in cs]
+    out = _paired(_sides(left, right, keys), keys, order, False)
+    return out if how == "full" else out.filter("l is not null" if how == "left" else "l is not null and r is not null")
 
 
 def sorted_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:
     """Optimal one-dimensional assignment: in groups of equal size on both sides, the i-th smallest meets the i-th smallest."""
-    n = lambda df, c: df.groupBy(*keys).agg(F.count("*").alias(c))
-    same = n(left, "nl").join(n(right, "nr"), keys).filter("nl = nr").select(*keys)
-    return bag_match(left.join(same, keys, "left_semi"), right.join(same, keys, "left_semi"), keys, left_order, right_order, "inner")
+    order = [F.col(f"{s}.{c}").asc_nulls_last() for s, cs in (("l", left_order), ("r", right_order)) for c in cs]
+    return _paired(_sides(left, right, keys), keys, order, True).filter("l is not null and r is not null")
+
+
+def sorted_pairs_within(df: DataFrame, keys: list[str], is_left: Column, order: list[str]) -> DataFrame:
+    """sorted_pairs() of two parts of one table, in one scan; rows where `is_left` is null take no part."""
+    row = F.struct(*df.columns)
+    both = df.filter(is_left.isNotNull()).select(*keys, F.when(is_left, row).alias("l"), F.when(~is_left, row).alias("r"))
+    by = [F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}")).asc_nulls_last() for c in order]
+    return _paired(both, keys, by, True).filter("l is not null and r is not null")
 
 
 def match_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: expected, found, matched (the smaller), missing and extra. Counts meet, rows don't."""
-    a, b = left.groupBy(*keys).agg(F.count("*").alias("expected")), right.groupBy(*keys).agg(F.count("*").alias("found"))
-    both = a.join(b, keys, "full").fillna(0, ["expected", "found"])
-    matched = F.least("expected", "found")
+    tag = lambda df, is_left: df.select(*keys, F.lit(is_left).alias("_left"))
+    return counts_within(tag(left, True).unionByName(tag(right, False)), keys, F.col("_left"))
+
+
+def counts_within(df: DataFrame, keys: list[str], is_left: Column) -> DataFrame:
+    """match_counts() of two parts of one table: one aggregate. Null keys stay apart by side."""
+    n = lambda c: F.count(F.when(c, 1))
+    rows = df.select(*keys, is_left.alias("_left"))
+    both = rows.groupBy(*keys, _known(keys, "_left")).agg(n(F.col("_left")).alias("expected"), n(~F.col("_left")).alias("found")).drop("_apart")
+    matched = F.when(F.col("expected") < F.col("found"), F.col("expected")).otherwise(F.col("found"))
     return both.withColumns({"matched": matched, "missing": F.col("expected") - matched, "extra": F.col("found") - matched})
 
 
@@ -45,46 +86,71 @@ def adaptive_mode(hits: Column, left_ids: Column, right_ids: Column, names_match
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of both sides with status: both, only_left, only_right."""
-    a = left.select(*keys).distinct().withColumn("_l", F.lit(True))
-    b = right.select(*keys).distinct().withColumn("_r", F.lit(True))
+    """Keys of both sides with status: both, only_left, only_right. Null keys stay apart by side."""
+    tag = lambda df, is_left: df.select(*keys, F.lit(is_left).alias("_left"))
+    both = tag(left, True).unionByName(tag(right, False)).withColumn("_apart", _known(keys, "_left"))
+    return reconcile_within(both, [*keys, "_apart"], F.col("_left")).drop("_apart")
+
+
+def reconcile_within(df: DataFrame, keys: list[str], is_left: Column) -> DataFrame:
+    """reconcile() of two parts of one table: one aggregate with two flags."""
+    found = df.filter(is_left.isNotNull()).groupBy(*keys).agg(F.bool_or(is_left).alias("_l"), F.bool_or(~is_left).alias("_r"))
     status = F.when(F.col("_l") & F.col("_r"), "both").when(F.col("_l"), "only_left").otherwise("only_right")
-    return a.join(b, keys, "full").select(*keys, status.alias("status"))
+    return found.select(*keys, status.alias("status"))
 
 
-def bag_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, item: str) -> DataFrame:
-    """Multiset overlap of the bags that share an item: shared, overlap (by the smaller bag) and jaccard.
+def bag_overlap(queries: DataFrame, rows: DataFrame, query_id: str, row_id: str, items: str, least: float = 0.0, block: int = 1_000_000) -> DataFrame:
+    """Multiset overlap of each query bag with each row's bag (arrays of strings): shared, overlap (by the smaller bag) and jaccard, where overlap is at least `least`.
 
-    An item in very many bags makes as many pairs as it has bags on both sides; callers keep to selective items.
+    The queries are a stated set that meets all rows: they are broadcast as an inverted index, in blocks of at most `block` distinct items in all (a bag of
+    more is a block of its own), each a pass over the rows. All items count, however frequent; nothing is shuffled, and rows meet a query only through items they share.
     """
-    a, b = (df.groupBy(i, item).agg(F.count("*").alias(n)) for df, i, n in ((left, left_id, "_nl"), (right, right_id, "_nr")))
-    sizes = lambda df, i, n, s: df.groupBy(i).agg(F.sum(n).alias(s))
-    both = a.join(b, item).groupBy(left_id, right_id).agg(F.sum(F.least("_nl", "_nr")).alias("shared"))
-    both = both.join(sizes(a, left_id, "_nl", "_sl"), left_id).join(sizes(b, right_id, "_nr", "_sr"), right_id)
-    overlap, union = F.col("shared") / F.least("_sl", "_sr"), F.col("_sl") + F.col("_sr") - F.col("shared")
-    return both.select(left_id, right_id, "shared", F.round(overlap, 4).alias("overlap"), F.round(F.col("shared") / union, 4).alias("jaccard"))
+    spark = rows.sparkSession
+    bags = queries.select(F.col(query_id).alias("q"), F.explode(items).alias("i")).groupBy("q", "i").agg(F.count("*").alias("n"))
+    sizes = bags.groupBy("q").agg(F.count("*").alias("d"))
+    where = Stash(spark, "overlap").put(running(sizes, [], [F.col("q")], F.col("d"), "upto").select("q", F.floor((F.col("upto") - F.col("d")) / block).cast("long").alias("block")))
+    kinds = f"q {queries.schema[query_id].dataType.simpleString()}, id {rows.schema[row_id].dataType.simpleString()}, shared long, nq long, nr long"
+    source, found = rows.select(F.col(row_id).alias("id"), F.col(items).alias("items")), None
+    for (number,) in sorted(tuple(r) for r in where.select("block").distinct().collect()):  # one for each `block` items of the queries
+        index: dict[str, list] = {}
+        names: dict = {}
+        total: list[int] = []
+        for q, i, n in bags.join(where.filter(F.col("block") == number).select("q"), "q").select("q", "i", "n").collect():
+            at = names.setdefault(q, len(names))
+            if at == len(total):
+                total.append(0)
+            total[at] += n
+            to = index.setdefault(i, ([], []))
+            to[0].append(at), to[1].append(n)
+        held = spark.sparkContext.broadcast((list(names), np.array(total), {i: (np.array(a), np.array(n)) for i, (a, n) in index.items()}))
+        part = source.mapInArrow(_overlaps(held, least), kinds)
+        found = part if found is None else found.unionByName(part)
+    found = spark.createDataFrame([], kinds) if found is None else found
+    overlap, union = F.col("shared") / F.least("nq", "nr"), F.col("nq") + F.col("nr") - F.col("shared")
+    return found.select(F.col("q").alias(query_id), F.col("id").alias(row_id), "shared", F.round(overlap, 4).alias("overlap"), F.round(F.col("shared") / union, 4).alias("jaccard"))
+
+
+def _overlaps(held, least):
+    def run(batches):
+        names, total, index = held.value
+        for b in batches:
+            out = {c: [] for c in ("q", "id", "shared", "nq", "nr")}
+            for row, items in zip(b.column("id").to_pylist(), b.column("items").to_pylist(), strict=True):
+                bag, shared = Counter(items or ()), np.zeros(len(names), np.int64)
+                for i, n in bag.items():
+                    if i in index:
+                        at, counts = index[i]
+                        shared[at] += np.minimum(counts, n)
+                size = bag.total()
+                for k in np.flatnonzero((shared > 0) & (shared >= least * np.minimum(total, size))):
+                    for c, v in zip(out.values(), (names[k], row, int(shared[k]), int(total[k]), size), strict=True):
+                        c.append(v)
+            yield pa.RecordBatch.from_pydict({"q": pa.array(out["q"]), "id": pa.array(out["id"], b.schema.field("id").type), **{c: pa.array(out[c], pa.int64()) for c in ("shared", "nq", "nr")}} if out["q"] else {"q": pa.array([], pa.int64()), "id": pa.array([], b.schema.field("id").type), **{c: pa.array([], pa.int64()) for c in ("shared", "nq", "nr")}})
+
+    return run
 
 
 def coverage(counts: DataFrame, by: list[str]) -> DataFrame:
     """Expected, matched and the coverage rounded down, for each group of match_counts()."""
     out = counts.groupBy(*by).agg(F.sum("expected").alias("expected"), F.sum("matched").alias("matched"))
     return out.withColumn("coverage", floor_ratio(F.col("matched"), F.col("expected")))
-
-
-def ranked(df: DataFrame, by: list[str], order: list[Column], name: str = "rank") -> DataFrame:
-    """Each row's place (from 1) in the order of its group; with no `by`, among all rows. `order` must leave no ties.
-
-    No task gets a whole group: ranges of (by, order) are written to the shared folder, as ranges drawn anew may
-    differ; then counts of ranges, their running sums, and ranks within each range.
-    """
-    from millrace.session import Stash, partitions
-
-    rows = Stash(df.sparkSession, "ranked").put(df.repartitionByRange(partitions(df.sparkSession), *by, *order).withColumn("_range", F.spark_partition_id()))
-    counts = rows.groupBy("_range", *by).agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a group has one row per range that it reaches
-    base = counts.select(F.col("_range").alias("_of"), *(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_base"))
-    own = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order))
-    cond = F.col("_range") == F.col("_of")
-    for i, c in enumerate(by):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_by{i}"))
-    return rows.withColumn("_own", own).join(base, cond).withColumn(name, F.col("_base") + F.col("_own")).select(*df.columns, name)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.scalars import key_kind
+
 
 def priority_resolve(wanted: DataFrame, key: str, tiers: list[tuple[str, DataFrame]], value: str) -> DataFrame:
     """The value of the first tier that has the key (ties: the least value) and `how`, the tier's name, or unresolved.
@@ -18,6 +20,32 @@ def priority_resolve(wanted: DataFrame, key: str, tiers: list[tuple[str, DataFra
     return wanted.join(best, key, "left").withColumns({value: F.col("m")[value], "how": F.coalesce(F.col("m")["how"], F.lit("unresolved"))}).drop("m")
 
 
+def resolve_keys(contents: DataFrame, ident: str, keys: str, size: str, root: str, markers: DataFrame, others: list[tuple[str, DataFrame, bool]]) -> DataFrame:
+    """Adds place and how: where a content is stored, by the kinds of its keys, and then by maps.
+
+    In order: the least real key under `root` (disk_real), the least source pointer (disk_source), a marker's target where a key points to one (disk_marker), then each map of `others`
+    (name, frame of ident, place and size, must the size agree); else unresolved. keys: an array of strings.
+    """
+    kind = key_kind(F.col("_key"))
+    flat = contents.select(ident, F.explode(keys).alias("_key"))
+    least = lambda c, v=F.col("_key"): F.min(F.when(c, v))
+    own = flat.groupBy(ident).agg(
+        least((kind == "real") & F.startswith("_key", F.lit(root.rstrip("/") + "/"))).alias("_real"),
+        least(kind == "source", F.substring("_key", 5, 1 << 20)).alias("_source"),
+        F.bool_or(kind == "marker").alias("_marked"),
+    )
+    out = contents.join(own, ident, "left").join(markers.groupBy(ident).agg(F.min("place").alias("_target")), ident, "left")
+    tries = [("disk_real", F.col("_real")), ("disk_source", F.col("_source")), ("disk_marker", F.when(F.col("_marked"), F.col("_target")))]
+    for i, (name, places, sized) in enumerate(others):
+        by = [ident, size] if sized else [ident]
+        out = out.join(places.groupBy(*by).agg(F.min("place").alias(f"_o{i}")), by, "left")
+        tries.append((name, F.col(f"_o{i}")))
+    how = F.lit("unresolved")
+    for name, v in reversed(tries):
+        how = F.when(v.isNotNull(), name).otherwise(how)
+    return out.select(*contents.columns, F.coalesce(*(v for _, v in tries)).alias("place"), how.alias("how"))
+
+
 def proof_gate(asks: DataFrame, offers: DataFrame, weak: list[str], proof: str) -> DataFrame:
     """Candidates by weak keys that count only if the proof agrees too. Reason: proven, no_candidate, or proof_differs.
 
@@ -67,11 +95,11 @@ def action_plan(rows: DataFrame, size: str, kind: str, done: DataFrame, queued:
 
 
 def best_of(df: DataFrame, keys: list[str], order: list[Column], ident: str) -> DataFrame:
-    """Marks the best row of each key (`best`), and tells the others by which row they are superseded."""
+    """Marks the best row of each key (`best`), tells the others by which row they are superseded, and all how many candidates there were."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    top = F.first(ident).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rn = F.row_number().over(w)
-    return df.withColumns({"best": rn == 1, "superseded_by": F.when(rn > 1, top)})
+    return df.withColumns({"best": rn == 1, "superseded_by": F.when(rn > 1, F.first(ident).over(whole)), "candidates": F.count("*").over(whole)})
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.order import running
+
 
 def draw(seed: str, ident: Column) -> Column:
     """A portable order for sampling: the sha256 of seed and id."""
@@ -18,14 +19,23 @@ def hash_sample(df: DataFrame, strata: list[str], ident: str, k: int, seed: str)
     return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
 
 
-def quota_sample(df: DataFrame, stratum: str, ident: str, total: int, seed: str) -> DataFrame:
-    """Proportional quotas, one at least per stratum (rounded down), by hash order."""
+def quota_sample(df: DataFrame, stratum: str, ident: str, total: int, seed: str, truth: Column | None = None) -> DataFrame:
+    """Proportional quotas, one at least per stratum (rounded down), by hash order. truth: half of a quota (rounded up) goes to rows where it holds, as far as there are any."""
     sizes = df.groupBy(stratum).agg(F.count("*").alias("_n"))
     everything = sizes.agg(F.sum("_n").alias("_all"))
     quota = F.greatest(F.lit(1), F.floor(F.lit(total) * F.col("_n") / F.col("_all")).cast("long"))
     sizes = sizes.join(F.broadcast(everything)).select(stratum, quota.alias("quota"))  # one row
-    w = Window.partitionBy(stratum).orderBy(draw(seed, F.col(ident)), ident)
-    return df.withColumn("rn", F.row_number().over(w)).join(sizes, stratum).filter("rn <= quota")
+    by = [draw(seed, F.col(ident)), F.col(ident)]
+    # No quota is above `total`, so tasks hand on no more rows of a stratum than that.
+    if truth is None:
+        first = df.withColumn("rn", F.row_number().over(Window.partitionBy(stratum).orderBy(*by))).filter(F.col("rn") <= max(1, total))
+        return first.join(sizes, stratum).filter("rn <= quota")
+    rows = df.withColumn("_true", F.coalesce(truth, F.lit(False)))
+    place = F.row_number().over(Window.partitionBy(stratum, "_true").orderBy(*by))
+    rows = rows.withColumn("_place", place).filter(F.col("_place") <= max(1, total)).join(sizes, stratum)
+    early = F.col("_true") & (F.col("_place") <= F.ceil(F.col("quota") / 2))
+    rn = F.row_number().over(Window.partitionBy(stratum).orderBy(F.when(early, 0).otherwise(1), *by))
+    return rows.withColumn("rn", rn).filter("rn <= quota").drop("_true", "_place")
 
 
 def round_robin(df: DataFrame, stratum: str, ident: str, n: int, seed: str) -> DataFrame:
@@ -39,15 +49,12 @@ def round_robin(df: DataFrame, stratum: str, ident: str, n: int, seed: str) -> D
 def lower_rank(df: DataFrame, by: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Quantiles by the lower rank, int(q * (n - 1)): an actual value, not an interpolated one.
 
-    Ranks come from counts per distinct value, so equal values combine before the shuffle.
+    Ranks come from running counts per distinct value, so equal values combine before the shuffle, and no task sorts a whole group.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*by).orderBy(value)
-    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    n = F.sum("_c").over(Window.partitionBy(*by))
-    ranked = counts.withColumns({"_hi": upto, "_n": n})
+    upto = running(counts, by, [F.col(value)], F.col("_c"), "_hi", "_n")
     pick = lambda q: F.min(F.when(F.col("_hi") > F.floor(F.lit(q) * (F.col("_n") - 1)), F.col(value)))
-    return ranked.groupBy(*by).agg(F.max("_n").alias("n"), *(pick(q).alias(name) for name, q in quantiles.items()))
+    return upto.groupBy(*by).agg(F.max("_n").alias("n"), *(pick(q).alias(name) for name, q in quantiles.items()))
 
 
 def mode_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -81,10 +88,10 @@ def bounded_chunks(df: DataFrame, by: list[str], order: list[str], weight: str,
         group, chunk, held = None, 0, 0
         for pdf in batches:
             out_c, out_p = [], []
-            for row in pdf[[*by, weight]].itertuples(index=False):
-                w = 0 if pd.isna(row[-1]) else int(row[-1])
-                if group is None or row[:-1] != group:
-                    group, chunk, held = row[:-1], 0, 0
+            weights = pdf[weight].fillna(0).astype("int64").tolist()
+            for w, key in zip(weights, zip(*(pdf[c].tolist() for c in by), strict=True), strict=True):
+                if group is None or key != group:
+                    group, chunk, held = key, 0, 0
                 parts = max(1, -(-w // limit))
                 if parts > 1:
                     chunk += held > 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.match import ranked
+from millrace.operators.order import ranked, slices
 
 
 def cells(df: DataFrame, axes: list[str], size: float) -> DataFrame:
@@ -41,21 +41,22 @@ def nearest(pairs: DataFrame, key: str, other: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.min(F.struct("dist", other)).alias("m")).select(key, F.col(f"m.{other}").alias(other), F.col("m.dist").alias("dist"))
 
 
-def greedy_one_to_one(pairs: DataFrame, left: str, right: str) -> DataFrame:
-    """One-to-one matches: pairs that are each other's nearest, then again among the rest, until none is left.
+def greedy_one_to_one(pairs: DataFrame, left: str, right: str, by: list[str] = ("dist",)) -> DataFrame:
+    """One-to-one matches: pairs that are each other's best, then again among the rest, until none is left.
 
-    The same matches as taking pairs by (dist, left, right) one at a time, in a few rounds, each written to the shared folder.
+    The same matches as taking pairs by (by, left, right) one at a time, in a few rounds, each written to the shared folder.
     Copies of a point tie with each other and take a round each; match_points() takes them together.
     """
     from millrace.session import Stash
 
     stash = Stash(pairs.sparkSession, "one-to-one")
-    rest, hits, i = stash.put(pairs.select(left, right, "dist")), stash.path(), 0
-    order = lambda own: F.min(F.struct("dist", left, right)).alias("m")
+    columns = list(dict.fromkeys([*by, left, right]))
+    rest, hits, i = stash.put(pairs.select(*columns)), stash.path(), 0
+    order = F.min(F.struct(*columns)).alias("m")
     while True:
-        a = rest.groupBy(left).agg(order(left)).select("m.*")
-        b = rest.groupBy(right).agg(order(right)).select("m.*")
-        hit = stash.put(a.join(b, [left, right, "dist"]).withColumn("round", F.lit(i)), f"{hits}/{i}")
+        a = rest.groupBy(left).agg(order).select("m.*")
+        b = rest.groupBy(right).agg(order).select("m.*")
+        hit = stash.put(a.join(b, columns).withColumn("round", F.lit(i)), f"{hits}/{i}")
         if rest.isEmpty():  # the last round's table is empty, so that there is one even without pairs
             return pairs.sparkSession.read.schema(hit.schema).parquet(f"{hits}/*")
         rest, before = stash.put(rest.join(hit.select(left), left, "left_anti").join(hit.select(right), right, "left_anti")), rest
@@ -63,6 +64,28 @@ def greedy_one_to_one(pairs: DataFrame, left: str, right: str) -> DataFrame:
         i += 1
 
 
+def match_passes(left: DataFrame, right: DataFrame, axes: list[str], ident: str, measure: str, dist_tol: float, measure_tol: float, near_tol: float, k: int = 12) -> DataFrame:
+    """Matches in two passes: close pairs of the same measure first (`exact`), then what is left within `near_tol` (`near`).
+
+    Candidates are the k nearest left rows of each right row. Within a pass pairs go by (dist, difference of measures, left id, right id), one to one.
+    """
+    from millrace.session import Stash
+
+    stash = Stash(left.sparkSession, "passes")
+    cand = radius_join(left, right, axes, near_tol)
+    lm, rm = F.col(f"l_{measure}"), F.col(f"r_{measure}")
+    ratio = F.when(rm > 0, lm / rm).when(lm == 0, 1.0)
+    rn = F.row_number().over(Window.partitionBy(f"r_{ident}").orderBy("dist", f"l_{ident}"))
+    cand = cand.withColumn("rn", rn).filter(F.col("rn") <= k).withColumn("ratio", ratio).withColumn("off", F.coalesce(F.when(F.col("ratio") > 0, F.abs(F.log("ratio"))), F.lit(99.0)))
+    cand = stash.put(cand.select(f"l_{ident}", f"r_{ident}", "dist", "off", "ratio"))
+    same = (F.col("dist") <= dist_tol) & F.coalesce(F.abs(F.col("ratio") - 1) <= measure_tol, F.lit(False))
+    first = greedy_one_to_one(cand.filter(same), f"l_{ident}", f"r_{ident}", ["dist", "off"])
+    rest = cand.join(first.select(f"l_{ident}"), f"l_{ident}", "left_anti").join(first.select(f"r_{ident}"), f"r_{ident}", "left_anti")
+    second = greedy_one_to_one(rest, f"l_{ident}", f"r_{ident}", ["dist", "off"])
+    told = lambda df, kind: df.select(f"l_{ident}", f"r_{ident}", "dist", F.lit(kind).alias("pass"))
+    return told(first, "exact").unionByName(told(second, "near"))
+
+
 def match_points(left: DataFrame, right: DataFrame, axes: list[str], radius: float, ident: str) -> DataFrame:
     """l_, r_ and dist of the one-to-one matches of greedy_one_to_one() over radius_join(), with copies of a point taken together.
 
@@ -123,6 +146,32 @@ def range_join(left: DataFrame, right: DataFrame, value: str, tolerance: float,
     return out if extra is None else out.filter(extra)
 
 
+def tolerance_join(left: DataFrame, right: DataFrame, tolerances: dict[str, tuple[float, float]]) -> DataFrame:
+    """Pairs (l_, r_) where for each column |l - r| <= max(absolute, relative * |r|).
+
+    An equi-join on cells of the first column, whose width grows with the value: on the scale of `_scale` every tolerance is about as wide, so a right row stands in a
+    handful of cells whatever its value. All columns are tested behind it.
+    """
+    (first, (absolute, relative)), *_ = tolerances.items()
+
+    def scale(v):
+        bend = absolute / relative if relative else float("inf")
+        if not relative:
+            return v / absolute
+        return F.when(F.abs(v) <= bend, v / absolute).otherwise(F.signum(v) * (1 + F.log(F.abs(v) / bend)) / relative)
+
+    tol = lambda c, a, r: F.greatest(F.lit(float(a)), F.abs(c) * r)
+    cell = lambda v: F.floor(scale(v)).cast("long")
+    v = F.col(first)
+    a = left.filter(v.isNotNull()).select(*(F.col(c).alias(f"l_{c}") for c in left.columns), cell(v).alias("_c"))
+    b = right.filter(v.isNotNull()).withColumn("_d", F.explode(F.sequence(cell(v - tol(v, absolute, relative)) - 1, cell(v + tol(v, absolute, relative)) + 1)))
+    b = b.select(*(F.col(c).alias(f"r_{c}") for c in right.columns), "_d")
+    out = a.join(b, F.col("_c") == F.col("_d")).drop("_c", "_d")
+    for c, (x, r) in tolerances.items():
+        out = out.filter(F.abs(F.col(f"l_{c}") - F.col(f"r_{c}")) <= tol(F.col(f"r_{c}"), x, r))
+    return out
+
+
 def boxes(df: DataFrame, by: list[str], axes: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(*(f(a).alias(f"{a}_{n}") for a in axes for f, n in ((F.min, "lo"), (F.max, "hi"))))
 
@@ -159,18 +208,5 @@ def mesh_volume(triangles: DataFrame, by: list[str]) -> DataFrame:
 
 
 def tiles(df: DataFrame, axes: list[str], order: str, ident: str, size: float, n: int) -> DataFrame:
-    """Equal slices in spatial order: by cell, then the last axis, then id.
-
-    A global rank without one task that sorts all: counts of cells, their running sums, and ranks within each cell.
-    """
-    rows = cells(df, axes, size)
-    counts = rows.groupBy("_cell").agg(F.count("*").alias("_n"))
-    upto = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per occupied cell
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    base = counts.select("_cell", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_base"))
-    rn = F.row_number().over(Window.partitionBy("_cell").orderBy(order, ident))
-    at = rows.withColumn("_rn", rn).join(base, "_cell").withColumn("_at", F.col("_base") + F.col("_rn") - 1)
-    big, small = total % n, total // n
-    edge = big * (small + 1)
-    tile = F.when(F.col("_at") < edge, F.floor(F.col("_at") / (small + 1))).otherwise(F.lit(big) + F.floor((F.col("_at") - edge) / max(1, small)))
-    return at.withColumn("tile", (tile + 1).cast("int")).drop("_cell", "_rn", "_base", "_at")
+    """Equal slices in spatial order: by cell, then the last axis, then id. A global order without a task that gets all rows, or all cells."""
+    return slices(cells(df, axes, size), [], [F.col("_cell"), F.col(order), F.col(ident)], n, "tile").drop("_cell")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +30,26 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def bag(df: DataFrame, ident: str, text: Column, item: str = "word") -> DataFrame:
-    return df.select(ident, F.explode(words(text)).alias(item))
+def removed_tokens(df: DataFrame, ident: str, before: Column, after: Column) -> DataFrame:
+    """Per row, the tokens of `before` that `after` lacks as bags: how many (n_removed) and how many different ones (n_words); rows that lose none are left out.
+
+    The difference lies within a row, so nothing is shuffled: both bags go to a batch function.
+    """
 
+    def run(batches):
+        for b in batches:
+            rows = {"id": [], "n_removed": [], "n_words": []}
+            for i, x, y in zip(b.column("id").to_pylist(), b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
+                lost = Counter(x or ())
+                lost.subtract(Counter(y or ()))
+                n = [k for k in lost.values() if k > 0]
+                if n:
+                    rows["id"].append(i), rows["n_removed"].append(sum(n)), rows["n_words"].append(len(n))
+            yield pa.RecordBatch.from_pydict({"id": pa.array(rows["id"], b.schema.field("id").type), "n_removed": pa.array(rows["n_removed"], pa.int64()), "n_words": pa.array(rows["n_words"], pa.int64())})
 
-def removed_tokens(before: DataFrame, after: DataFrame, ident: str, item: str) -> DataFrame:
-    """Bag difference per id: tokens of `before` that `after` lacks, with how many. Counts meet, not rows."""
-    a = before.groupBy(ident, item).agg(F.count("*").alias("_a"))
-    b = after.groupBy(ident, item).agg(F.count("*").alias("_b"))
-    lost = F.col("_a") - F.coalesce("_b", F.lit(0))
-    return a.join(b, [ident, item], "left").withColumn("n", lost).filter("n > 0").select(ident, item, "n")
+    kind = df.schema[ident].dataType.simpleString()
+    out = df.select(F.col(ident).alias("id"), before.alias("a"), after.alias("b")).mapInArrow(run, f"id {kind}, n_removed long, n_words long")
+    return out.withColumnRenamed("id", ident)
 
 
 def record_blocks(lines: DataFrame, by: list[str], order: str, value: str) -> DataFrame:

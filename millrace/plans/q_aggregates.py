@@ -88,8 +88,8 @@ def a8(spark, d):
     "SELECT o_custkey, string_agg(o_orderstatus, ',' ORDER BY o_orderdate, o_orderkey) AS statuses, count(*) AS n FROM orders GROUP BY 1",
 )
 def a9(spark, d):
-    load(spark, d, "orders").createOrReplaceTempView("mr_orders")
-    return spark.sql("SELECT o_custkey, array_join(transform(array_sort(collect_list(struct(o_orderdate, o_orderkey, o_orderstatus))), x -> x.o_orderstatus), ',') AS statuses, count(*) AS n FROM mr_orders GROUP BY o_custkey")
+    ordered = F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")))
+    return load(spark, d, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(ordered, lambda x: x["o_orderstatus"]), ",").alias("statuses"), F.count("*").alias("n"))
 
 
 @query(
@@ -167,19 +167,19 @@ def a16(spark, d):
 
 @query(
     "a17_grouped_missing",
-    """WITH s AS (SELECT l_partkey, bool_or(l_linestatus = 'F') AS f, bool_or(l_linestatus = 'O') AS o FROM lineitem WHERE l_discount = 0 GROUP BY 1),
-    m AS (SELECT p_brand, CASE WHEN l_partkey IS NULL THEN 'none' WHEN NOT o THEN 'only_f' ELSE 'only_o' END AS cause, p_partkey, row_number() OVER (PARTITION BY p_brand, CASE WHEN l_partkey IS NULL THEN 'none' WHEN NOT o THEN 'only_f' ELSE 'only_o' END ORDER BY p_partkey) AS rn
-      FROM part LEFT JOIN s ON l_partkey = p_partkey WHERE l_partkey IS NULL OR NOT (f AND o))
-    SELECT p_brand, cause, count(*) AS n, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) FILTER (rn <= 5) AS ids FROM m GROUP BY 1, 2""",
+    """WITH s AS (SELECT l_orderkey, bool_or(l_linestatus = 'F') AS f, bool_or(l_linestatus = 'O') AS o FROM lineitem GROUP BY 1),
+    c AS (SELECT o_orderkey, o_orderpriority, CASE WHEN l_orderkey IS NULL THEN 'source' WHEN NOT o THEN 'only_f' WHEN NOT f THEN 'only_o' END AS cause FROM orders LEFT JOIN s ON l_orderkey = o_orderkey),
+    m AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, cause ORDER BY o_orderkey) AS rn FROM c WHERE cause IS NOT NULL),
+    g AS (SELECT o_orderpriority, cause, count(*) AS n, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) FILTER (rn <= 50) AS ids FROM m GROUP BY 1, 2)
+    SELECT *, CAST(row_number() OVER (ORDER BY cause = 'source', n DESC, o_orderpriority, cause) AS INT) AS pos FROM g""",
 )
 def a17(spark, d):
-    seen = load(spark, d, "lineitem").filter("l_discount = 0").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.bool_or(F.col("l_linestatus") == "F").alias("f"), F.bool_or(F.col("l_linestatus") == "O").alias("o"))
-    part = load(spark, d, "part").select("p_partkey", "p_brand").join(seen, "p_partkey", "left")
-    cause = F.when(F.col("f").isNull(), "none").when(~F.col("o"), "only_f").when(~F.col("f"), "only_o")
-    rows = part.withColumn("cause", cause).filter("cause is not null")
-    rn = F.row_number().over(Window.partitionBy("p_brand", "cause").orderBy("p_partkey"))
-    rows = rows.withColumn("id", F.when(rn <= 5, F.col("p_partkey")))
-    return rows.groupBy("p_brand", "cause").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids"))
+    """Orders that lack lines, by priority and cause: at most 50 ids each, the source's own shortfalls last, the others by size."""
+    f, o = F.bool_or(F.col("l_linestatus") == "F"), F.bool_or(F.col("l_linestatus") == "O")
+    seen = load(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(f.alias("f"), o.alias("o"))
+    cause = F.when(F.col("f").isNull(), "source").when(~F.col("o"), "only_f").when(~F.col("f"), "only_o")
+    rows = load(spark, d, "orders").select("o_orderkey", "o_orderpriority").join(seen, "o_orderkey", "left").withColumn("cause", cause).filter("cause is not null")
+    return audit.shortfalls(rows, ["o_orderpriority", "cause"], "o_orderkey", F.col("cause") == "source")
 
 
 @query(
@@ -193,13 +193,12 @@ def a18(spark, d):
 
 @query(
     "d1_content_dedup",
-    """WITH r AS (SELECT sha256(text) AS sha, doc_id, source, n_chars, CASE WHEN source = 'src0' THEN 0 ELSE 1 END AS native FROM documents), k AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY native, source, doc_id) AS rn FROM r)
-    SELECT sha, min(doc_id) FILTER (rn = 1) AS keep_id, count(*) AS n_copies, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FILTER (rn > 1), '') AS dropped FROM k GROUP BY 1""",
+    """WITH r AS (SELECT sha256(text) AS sha, doc_id, source, CASE WHEN source = 'src0' THEN 0 ELSE 1 END AS native FROM documents)
+    SELECT doc_id, sha, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY sha) AS n_copies, first_value(doc_id) OVER w = doc_id AS kept FROM r WINDOW w AS (PARTITION BY sha ORDER BY native, source, doc_id)""",
 )
 def d1(spark, d):
     docs = load(spark, d, "documents").select(F.sha2("text", 256).alias("sha"), "doc_id", "source")
-    out = audit.content_dedup(docs, ["sha"], [(F.col("source") != "src0").cast("int"), F.col("source")], "doc_id")
-    return out.select("sha", "keep_id", "n_copies", F.array_join(F.transform("dropped", lambda x: x.cast("string")), ",").alias("dropped"))
+    return audit.content_dedup(docs, ["sha"], [(F.col("source") != "src0").cast("int"), F.col("source")], "doc_id").select("doc_id", "sha", "keep_id", "n_copies", "kept")
 
 
 @query(
@@ -259,7 +258,7 @@ def v2(spark, d):
 
 @query(
     "v3_object_audit",
-    "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'orphan' ELSE 'stored_ok' END AS state FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'fr') d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id",
+    "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'orphan' ELSE 'stored_ok' END AS state FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id",
 )
 def v3(spark, d):
-    return audit.object_audit(load(spark, d, "documents").filter("lang <> 'fr'"), load(spark, d, "labels"), "doc_id")
+    return audit.object_audit(load(spark, d, "documents"), load(spark, d, "labels"), "doc_id")

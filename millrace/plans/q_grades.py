@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
 from millrace.operators import grade, match, resolve, sample
-from millrace.plans.q_joins import _PAIRS, sorted_price_pairs
+from millrace.operators.order import ranked, slices
+from millrace.plans.q_joins import _PAIRS, _is_f, sorted_price_pairs
 from millrace.plans.registry import query
 from millrace.session import load
 from millrace.sources import io
@@ -96,7 +97,14 @@ def w9(spark, d):
     return i.groupBy("user_id", "island").agg(F.count("*").alias("n"), F.min("ts").alias("start"), F.max("ts").alias("stop"))
 
 
-@query("w10_chunking")
+@query(
+    "w10_chunking",
+    """WITH RECURSIVE n AS (SELECT source, n_chars AS w, CAST(greatest(1, ceil(n_chars / 10000)) AS BIGINT) AS parts, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
+    c AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS chunk, CAST(0 AS BIGINT) AS parts, CAST(0 AS BIGINT) AS w, CAST(0 AS BIGINT) AS next, CAST(0 AS BIGINT) AS held FROM documents
+      UNION ALL SELECT source, rn, chunk, parts, w, CASE WHEN parts > 1 THEN chunk + parts ELSE chunk END, CASE WHEN parts > 1 THEN 0 WHEN held > 0 AND held + w > 10000 THEN w ELSE held + w END
+      FROM (SELECT n.source, n.rn, n.parts, n.w, c.held, CASE WHEN n.parts > 1 THEN c.next + CASE WHEN c.held > 0 THEN 1 ELSE 0 END WHEN c.held > 0 AND c.held + n.w > 10000 THEN c.next + 1 ELSE c.next END AS chunk FROM c JOIN n ON n.source = c.source AND n.rn = c.rn + 1))
+    SELECT source, chunk, count(*) AS n, CAST(sum(w) AS BIGINT) AS size, max(parts) AS parts FROM c WHERE rn > 0 GROUP BY 1, 2""",
+)
 def w10(spark, d):
     docs = load(spark, d, "documents").select("source", "doc_id", "n_chars")
     out = sample.bounded_chunks(docs, ["source"], ["doc_id"], "n_chars", 10_000)
@@ -105,14 +113,14 @@ def w10(spark, d):
 
 @query("w11_ntile_chunks", "SELECT p_partkey, p_brand, CAST(ntile(7) OVER (PARTITION BY p_brand ORDER BY p_size, p_retailprice, p_partkey) AS INT) AS tile FROM part")
 def w11(spark, d):
-    w = Window.partitionBy("p_brand").orderBy("p_size", "p_retailprice", "p_partkey")
-    return load(spark, d, "part").select("p_partkey", "p_brand", F.ntile(7).over(w).alias("tile"))
+    part = load(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    return slices(part, ["p_brand"], [F.col("p_size"), F.col("p_retailprice"), F.col("p_partkey")], 7).select("p_partkey", "p_brand", "tile")
 
 
 @query("w12_page_bounds", "SELECT o_orderstatus, o_orderkey, CAST(rn / 500 AS BIGINT) AS page FROM (SELECT o_orderstatus, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS rn FROM orders) WHERE rn % 500 = 0")
 def w12(spark, d):
-    rn = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1
-    return load(spark, d, "orders").select("o_orderstatus", "o_orderkey", rn.alias("rn")).filter("rn % 500 = 0").select("o_orderstatus", "o_orderkey", F.floor(F.col("rn") / 500).alias("page"))
+    rows = ranked(load(spark, d, "orders").select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], [F.col("o_orderkey")], "at").withColumn("rn", F.col("at") - 1)
+    return rows.filter("rn % 500 = 0").select("o_orderstatus", "o_orderkey", F.floor(F.col("rn") / 500).alias("page"))
 
 
 @query(
@@ -122,7 +130,7 @@ def w12(spark, d):
 )
 def g1(spark, d):
     line = load(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus")
-    counts = match.match_counts(line.filter("l_linestatus = 'F'"), line.filter("l_linestatus = 'O'"), ["l_partkey", "l_returnflag"])
+    counts = match.counts_within(line, ["l_partkey", "l_returnflag"], _is_f())
     return match.coverage(counts, ["l_returnflag"])
 
 
@@ -147,9 +155,8 @@ def g2(spark, d):
 )
 def g3(spark, d):
     line = load(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linestatus").join(load(spark, d, "part").select("p_partkey", "p_brand"), "p_partkey")
-    f, o = line.filter("l_linestatus = 'F'"), line.filter("l_linestatus = 'O'")
-    ids = match.reconcile(f, o, ["p_brand", "l_orderkey"]).groupBy("p_brand").agg(*(F.count(F.when(c, 1)).alias(n) for n, c in (("hits", F.col("status") == "both"), ("nl", F.col("status") != "only_right"), ("nr", F.col("status") != "only_left"))))
-    names = match.match_counts(f, o, ["p_brand", "p_partkey"]).groupBy("p_brand").agg(F.sum("matched").alias("names_matched"), F.sum("expected").alias("e"), F.sum("found").alias("g"))
+    ids = match.reconcile_within(line, ["p_brand", "l_orderkey"], _is_f()).groupBy("p_brand").agg(*(F.count(F.when(c, 1)).alias(n) for n, c in (("hits", F.col("status") == "both"), ("nl", F.col("status") != "only_right"), ("nr", F.col("status") != "only_left"))))
+    names = match.counts_within(line, ["p_brand", "p_partkey"], _is_f()).groupBy("p_brand").agg(F.sum("matched").alias("names_matched"), F.sum("expected").alias("e"), F.sum("found").alias("g"))
     mode = match.adaptive_mode(F.col("hits"), F.col("nl"), F.col("nr"), F.col("names_matched"), F.col("e"), F.col("g"))
     return ids.join(names, "p_brand").select("p_brand", "hits", "names_matched", mode.alias("mode"))
 
@@ -224,7 +231,7 @@ def g5(spark, d):
 )
 def g6(spark, d):
     line = load(spark, d, "lineitem").select("l_partkey", "l_linestatus", "l_discount", "l_tax", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    counts = match.match_counts(line.filter("l_linestatus = 'F'"), line.filter("l_linestatus = 'O'"), ["l_partkey"]).filter("missing > 0").select("l_partkey", "missing")
+    counts = match.counts_within(line, ["l_partkey"], _is_f()).filter("missing > 0").select("l_partkey", "missing")
     order = S.first_match([(F.col("l_discount") >= 0.09, 0), (F.col("l_tax") == 0, 1)], 2)
     cause = S.first_match([(order == 0, "BY_DESIGN"), (order == 1, "SOURCE")], "PIPELINE")
     rn = F.row_number().over(Window.partitionBy("l_partkey").orderBy(order, "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"))
@@ -296,15 +303,16 @@ def g11(spark, d):
 
 @query(
     "g12_evidence_patch",
-    """WITH a AS (SELECT doc_id % 400 AS k, min(sha256(text)) AS v FROM documents WHERE source < 'src2' GROUP BY 1), b AS (SELECT doc_id % 400 AS k, min(sha256(text)) AS v FROM documents WHERE source >= 'src10' GROUP BY 1), e AS (SELECT DISTINCT doc_id % 400 AS k FROM labels WHERE toxic = 1)
+    """WITH a AS (SELECT doc_id AS k, min(sha256(text)) AS v FROM documents WHERE lang <> 'fr' GROUP BY 1), b AS (SELECT doc_id AS k, min(sha256(lower(text))) AS v FROM documents WHERE lang <> 'es' GROUP BY 1), e AS (SELECT DISTINCT doc_id AS k FROM labels WHERE toxic = 1)
     SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'add' WHEN b.k IS NULL THEN 'keep_missing' WHEN a.v = b.v THEN 'keep' WHEN e.k IS NOT NULL THEN 'replace' ELSE 'keep_warn' END AS action,
     CASE WHEN a.k IS NULL OR (b.k IS NOT NULL AND a.v <> b.v AND e.k IS NOT NULL) THEN b.v ELSE a.v END AS v FROM a FULL JOIN b ON a.k = b.k LEFT JOIN e ON e.k = coalesce(a.k, b.k)""",
 )
 def g12(spark, d):
-    docs = load(spark, d, "documents").select((F.col("doc_id") % 400).alias("k"), "source", F.sha2("text", 256).alias("v"))
-    one = lambda df: df.groupBy("k").agg(F.min("v").alias("v"))
-    events = load(spark, d, "labels").filter("toxic = 1").select((F.col("doc_id") % 400).alias("k"))
-    return grade.evidence_patch(one(docs.filter("source < 'src2'")), one(docs.filter("source >= 'src10'")), events, "k", "v")
+    """Two versions of the documents (one language is new in the second, one is gone), with labels as the logged events."""
+    docs = load(spark, d, "documents").select(F.col("doc_id").alias("k"), "lang", "text")
+    one = lambda lang, v: docs.filter(F.col("lang") != lang).groupBy("k").agg(F.min(F.sha2(v, 256)).alias("v"))
+    events = load(spark, d, "labels").filter("toxic = 1").select(F.col("doc_id").alias("k"))
+    return grade.evidence_patch(one("fr", F.col("text")), one("es", F.lower("text")), events, "k", "v")
 
 
 @query(

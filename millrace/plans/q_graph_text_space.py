@@ -42,20 +42,33 @@ def e4(spark, d):
     FROM n a LEFT JOIN n b ON b.c = a.p""",
 )
 def e3(spark, d):
+    return graph.paths_to_root(_hierarchy(spark, d), "c", "p")
+
+
+_NODES = "WITH RECURSIVE n AS (SELECT 'n' || n_nationkey AS c, 'r' || n_regionkey AS p FROM nation UNION ALL SELECT 'r' || r_regionkey, NULL FROM region UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier)"
+
+
+@query(
+    "e6_descendants",
+    _NODES
+    + """, w AS (SELECT c AS node, p AS up, 1 AS step FROM n WHERE p IS NOT NULL UNION ALL SELECT w.node, n.p, w.step + 1 FROM w JOIN n ON n.c = w.up WHERE n.p IS NOT NULL),
+    t AS (SELECT c FROM n WHERE c NOT IN (SELECT p FROM n WHERE p IS NOT NULL)), k AS (SELECT up, count(*) AS n, count(*) FILTER (node IN (SELECT c FROM t)) AS l FROM w GROUP BY 1)
+    SELECT c AS node, CAST((SELECT count(*) FROM w WHERE w.node = c) AS INT) AS depth, coalesce(k.n, 0) AS n_descendants, coalesce(k.l, 0) AS n_leaves FROM n LEFT JOIN k ON k.up = c""",
+)
+def e6(spark, d):
+    return graph.descendants(_hierarchy(spark, d), "c", "p")
+
+
+def _hierarchy(spark, d):
     key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     nodes = load(spark, d, "nation").select(key("n", "n_nationkey").alias("c"), key("r", "n_regionkey").alias("p"))
     nodes = nodes.unionByName(load(spark, d, "region").select(key("r", "r_regionkey").alias("c"), F.lit(None).cast("string").alias("p")))
-    nodes = nodes.unionByName(load(spark, d, "supplier").select(key("s", "s_suppkey").alias("c"), key("n", "s_nationkey").alias("p")))
-    return graph.paths_to_root(nodes, "c", "p")
+    return nodes.unionByName(load(spark, d, "supplier").select(key("s", "s_suppkey").alias("c"), key("n", "s_nationkey").alias("p")))
 
 
 @query("e5_leaves", "SELECT 'n' || n_nationkey AS c FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier) UNION ALL SELECT 's' || s_suppkey FROM supplier UNION ALL SELECT 'r' || r_regionkey FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation)")
 def e5(spark, d):
-    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    nodes = load(spark, d, "nation").select(key("n", "n_nationkey").alias("c"), key("r", "n_regionkey").alias("p"))
-    nodes = nodes.unionByName(load(spark, d, "region").select(key("r", "r_regionkey").alias("c"), F.lit(None).cast("string").alias("p")))
-    nodes = nodes.unionByName(load(spark, d, "supplier").select(key("s", "s_suppkey").alias("c"), key("n", "s_nationkey").alias("p")))
-    return graph.leaves(nodes, "c", "p").select("c")
+    return graph.leaves(_hierarchy(spark, d), "c", "p").select("c")
 
 
 @query(
@@ -99,24 +112,21 @@ _TOK = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w
 )
 def t4(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "text").filter(F.rlike("text", F.lit(text.EMAIL)))  # the others lose nothing
-    after = docs.withColumn("text", text.mask(F.col("text"), {"EMAIL": text.EMAIL}))
-    lost = text.removed_tokens(text.bag(docs, "doc_id", F.col("text")), text.bag(after, "doc_id", F.col("text")), "doc_id", "word")
-    return lost.groupBy("doc_id").agg(F.sum("n").alias("n_removed"), F.count("*").alias("n_words"))
+    return text.removed_tokens(docs, "doc_id", text.words(F.col("text")), text.words(text.mask(F.col("text"), {"EMAIL": text.EMAIL})))
 
 
 @query(
     "t6_bag_overlap",
-    f"""WITH b AS (SELECT item_id, unnest({_TOK.format('text')}) AS w FROM benchmark), q AS (SELECT item_id, w, count(*) AS n FROM b WHERE length(w) >= 7 GROUP BY 1, 2), c AS (SELECT conv_id * 1000 + turn AS id, unnest({_TOK.format('text')}) AS w FROM conversations), p AS (SELECT id, w, count(*) AS n FROM c WHERE length(w) >= 7 GROUP BY 1, 2),
-    s AS (SELECT item_id, id, sum(least(q.n, p.n)) AS shared FROM q JOIN p USING (w) GROUP BY 1, 2), a AS (SELECT item_id, sum(n) AS n FROM q GROUP BY 1), z AS (SELECT id, sum(n) AS n FROM p GROUP BY 1)
-    SELECT item_id, id, CAST(shared AS BIGINT) AS shared, round(shared / least(a.n, z.n), 4) AS overlap, round(shared / (a.n + z.n - shared), 4) AS jaccard FROM s JOIN a USING (item_id) JOIN z USING (id) WHERE shared >= 2""",
+    f"""WITH b AS (SELECT item_id, unnest({_TOK.format('text')}) AS w FROM benchmark), q AS (SELECT item_id, w, count(*) AS n FROM b GROUP BY 1, 2), c AS (SELECT doc_id, unnest({_TOK.format('text')}) AS w FROM documents), p AS (SELECT doc_id, w, count(*) AS n FROM c GROUP BY 1, 2),
+    s AS (SELECT item_id, doc_id, sum(least(q.n, p.n)) AS shared FROM q JOIN p USING (w) GROUP BY 1, 2), a AS (SELECT item_id, sum(n) AS n FROM q GROUP BY 1), z AS (SELECT doc_id, sum(n) AS n FROM p GROUP BY 1)
+    SELECT item_id, doc_id, CAST(shared AS BIGINT) AS shared, round(shared / least(a.n, z.n), 4) AS overlap, round(shared / (a.n + z.n - shared), 4) AS jaccard FROM s JOIN a USING (item_id) JOIN z USING (doc_id) WHERE shared >= 0.5 * least(a.n, z.n)""",
 )
 def t6(spark, d):
+    """Benchmark items of which a document holds half the words, or the reverse: all words of all documents."""
     from millrace.operators.match import bag_overlap
 
-    long = F.length("word") >= 7  # selective words
-    left = text.bag(load(spark, d, "benchmark"), "item_id", F.col("text")).filter(long)
-    right = text.bag(load(spark, d, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn")), "id", F.col("text")).filter(long)
-    return bag_overlap(left, right, "item_id", "id", "word").filter("shared >= 2")
+    bags = lambda table, i: load(spark, d, table).select(i, text.words(F.col("text")).alias("words"))
+    return bag_overlap(bags("benchmark", "item_id"), bags("documents", "doc_id"), "item_id", "doc_id", "words", 0.5)
 
 
 def _points(spark, d):

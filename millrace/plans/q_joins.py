@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
 from millrace.operators import audit, graph, match, resolve
+from millrace.operators.order import ranked
 from millrace.plans.registry import query
 from millrace.session import load
 from millrace.sources import io
@@ -88,6 +89,10 @@ def j2(spark, d):
     return out.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"), F.coalesce("labelled", F.lit(False)).alias("labelled"))
 
 
+def _is_f():
+    return F.when(F.col("l_linestatus") == "F", True).when(F.col("l_linestatus") == "O", False)
+
+
 def _sides(spark, d):
     line = load(spark, d, "lineitem")
     return line.filter("l_linestatus = 'F'"), line.filter("l_linestatus = 'O'")
@@ -99,8 +104,7 @@ def _sides(spark, d):
     SELECT p_partkey AS l_partkey, CASE WHEN f AND o THEN 'both' WHEN f THEN 'only_left' ELSE 'only_right' END AS status FROM part JOIN k ON p_partkey = l_partkey""",
 )
 def j3(spark, d):
-    f, o = _sides(spark, d)
-    return match.reconcile(f, o, ["l_partkey"])
+    return match.reconcile_within(load(spark, d, "lineitem").select("l_partkey", "l_linestatus"), ["l_partkey"], _is_f())
 
 
 def _edges(spark, d):
@@ -162,7 +166,7 @@ def j7(spark, d):
 @query(
     "j8_proof_gate",
     """WITH o AS (SELECT DISTINCT n_chars AS size, sha256(text) AS sha FROM documents), b AS (
-      SELECT item_id AS id, length(text) AS size, sha256(text) AS sha FROM benchmark UNION ALL SELECT 1000000 + doc_id, n_chars, sha256(text) FROM documents WHERE lang = 'en')
+      SELECT item_id AS id, length(text) AS size, sha256(text) AS sha FROM benchmark UNION ALL SELECT -1 - doc_id, n_chars, sha256(text) FROM documents)
     SELECT b.id, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.size = b.size AND o.sha = b.sha) THEN 'proven' WHEN EXISTS (SELECT 1 FROM o WHERE o.size = b.size) THEN 'proof_differs' ELSE 'no_candidate' END AS reason FROM b""",
 )
 def j8(spark, d):
@@ -170,7 +174,7 @@ def j8(spark, d):
     proof = F.sha2("text", 256).alias("sha")
     offers = docs.select(F.col("n_chars").alias("size"), proof)
     asks = load(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.length("text").cast("long").alias("size"), proof)
-    asks = asks.unionByName(docs.filter("lang = 'en'").select((F.col("doc_id") + 1000000).alias("id"), F.col("n_chars").alias("size"), proof))
+    asks = asks.unionByName(docs.select((-1 - F.col("doc_id")).alias("id"), F.col("n_chars").alias("size"), proof))
     return resolve.proof_gate(asks, offers, ["size"], "sha").select("id", "reason")
 
 
@@ -191,9 +195,7 @@ def j9(spark, d):
 
 @query("j10_scalar_subquery", "SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_orders FROM customer")
 def j10(spark, d):
-    load(spark, d, "customer").createOrReplaceTempView("mr_customer")
-    load(spark, d, "orders").createOrReplaceTempView("mr_orders")
-    return spark.sql("SELECT c_custkey, (SELECT count(*) FROM mr_orders WHERE o_custkey = c_custkey) AS n_orders FROM mr_customer")
+    return spark.sql("SELECT c_custkey, (SELECT count(*) FROM {orders} WHERE o_custkey = c_custkey) AS n_orders FROM {customer}", orders=load(spark, d, "orders"), customer=load(spark, d, "customer"))
 
 
 @query(
@@ -240,8 +242,8 @@ _PAIRS = f"""WITH c AS (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(*
 
 def sorted_price_pairs(spark, d):
     order = ["l_extendedprice", *(c for c in _LINE if c != "l_extendedprice")]
-    f, o = (x.select("l_partkey", *_LINE) for x in _sides(spark, d))
-    return match.sorted_pairs(f, o, ["l_partkey"], order, order).select("l_partkey", "rn", F.col("l.l_extendedprice").alias("f_price"), F.col("r.l_extendedprice").alias("o_price"))
+    line = load(spark, d, "lineitem").select("l_partkey", "l_linestatus", *_LINE)
+    return match.sorted_pairs_within(line, ["l_partkey"], _is_f(), order).select("l_partkey", "rn", F.col("l.l_extendedprice").alias("f_price"), F.col("r.l_extendedprice").alias("o_price"))
 
 
 @query("j15_sorted_pairing", _PAIRS + "SELECT * FROM p")
@@ -304,19 +306,21 @@ def u4(spark, d):
 
 @query(
     "u5_delta_plan",
-    """WITH h AS (SELECT doc_id % 500 AS k, CAST(substr(source, 4) AS INT) % 2 AS half, min(sha256(text)) AS sha FROM documents GROUP BY 1, 2), c AS (SELECT * FROM h WHERE half = 0), l AS (SELECT * FROM h WHERE half = 1)
-    SELECT coalesce(c.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'add' WHEN c.k IS NULL THEN 'remove_pending' WHEN c.sha IS DISTINCT FROM l.sha THEN 'refresh' ELSE 'keep' END AS action FROM c FULL JOIN l ON c.k = l.k""",
+    """WITH h AS (SELECT sha256(text) AS k, CAST(substr(source, 4) AS INT) % 2 AS half, count(*) AS n FROM documents GROUP BY 1, 2), c AS (SELECT * FROM h WHERE half = 0), l AS (SELECT * FROM h WHERE half = 1)
+    SELECT coalesce(c.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'add' WHEN c.k IS NULL THEN 'remove_pending' WHEN c.n IS DISTINCT FROM l.n THEN 'refresh' ELSE 'keep' END AS action FROM c FULL JOIN l ON c.k = l.k""",
 )
 def u5(spark, d):
-    h = load(spark, d, "documents").groupBy((F.col("doc_id") % 500).alias("k"), (F.substring("source", 4, 9).cast("int") % 2).alias("half")).agg(F.min(F.sha2("text", 256)).alias("sha"))
-    return audit.delta_plan(h.filter("half = 0"), h.filter("half = 1"), "k", "sha")
+    """Contents of two halves of the sources, with their number of copies as the mark."""
+    half = F.substring("source", 4, 9).cast("int") % 2
+    h = load(spark, d, "documents").groupBy(F.sha2("text", 256).alias("k"), half.alias("half")).agg(F.count("*").alias("n"))
+    return audit.delta_plan(h.filter("half = 0"), h.filter("half = 1"), "k", "n")
 
 
-@query("o1_sort_largest", "SELECT doc_id, n_chars, CAST(row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) AS INT) AS pos FROM documents ORDER BY n_chars DESC NULLS LAST, doc_id LIMIT 1000")
+@query("o1_sort_largest", "SELECT doc_id, n_chars, CAST(row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) AS INT) AS pos FROM documents ORDER BY n_chars DESC NULLS LAST, doc_id")
 def o1(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "n_chars")
     order = [F.desc_nulls_last("n_chars"), F.col("doc_id")]
-    return match.ranked(docs, [], order, "pos").withColumn("pos", F.col("pos").cast("int")).orderBy(*order)
+    return ranked(docs, [], order, "pos").withColumn("pos", F.col("pos").cast("int")).orderBy(*order)
 
 
 @query(

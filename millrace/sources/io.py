@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+import itertools
 import re
+import time
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.order import ranked
+
 #: The manifest's fields.
 MANIFEST = T.StructType([T.StructField(n, t) for n, t in (("path", T.StringType()), ("size", T.LongType()), ("sha256", T.StringType()), ("key", T.StringType()), ("dedup", T.StringType()))])
 CORRUPT = "_corrupt"
@@ -46,19 +53,56 @@ def head_tail(files: DataFrame, size: int = 65536) -> DataFrame:
     return files.select("path", "length", F.expr(f"substring(content, 1, {size})").alias("head"), F.expr(f"substring(content, greatest(1, cast(length - {size} + 1 as int)), {size})").alias("tail"))
 
 
+def read_ranges(files: DataFrame, size: int = 65536) -> DataFrame:
+    """(path, length, head, tail) of a listing: only these bytes are read, by ranged reads of any pyarrow filesystem."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                store, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with store.open_input_file(at) as f:
+                    n = f.size()
+                    head = f.read_at(min(size, n), 0)
+                    rows.append((path, n, head, f.read_at(min(size, n), max(0, n - size))))
+            yield pd.DataFrame(rows, columns=["path", "length", "head", "tail"])
+
+    return files.select("path").mapInPandas(run, "path string, length long, head binary, tail binary")
+
+
+class Reloaded:
+    """Support files that are loaded anew when their listing (path, length, time) changes, looked at no more often than every `seconds`. For a batch function of a stream, or a driver's loop."""
+
+    def __init__(self, spark: SparkSession, path: str, load, seconds: float = 300, clock=time.monotonic):
+        self.spark, self.path, self.load, self.seconds, self.clock = spark, path, load, seconds, clock
+        self.at, self.seen, self.value = None, None, None
+
+    def get(self):
+        if self.at is None or self.clock() - self.at >= self.seconds:
+            self.at = self.clock()
+            now = sorted((r["path"], r["size"], r["modified"]) for r in list_files(self.spark, self.path).collect())
+            if now != self.seen:
+                self.seen, self.value = now, self.load(self.spark, self.path)
+        return self.value
+
+
 def is_gzip(content: Column) -> Column:
     return F.hex(F.substring(content, 1, 2)) == "1F8B"
 
 
-def read_maybe_gzip(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line) of texts that may be compressed whatever their name; an Arrow batch function opens one file at a time."""
-    import gzip
+def read_maybe_gzip(spark: SparkSession, path: str, rows: int = 10_000) -> DataFrame:
+    """(path, line) of texts that may be compressed whatever their name; a file is decompressed as a stream, and lines are handed on `rows` at a time."""
 
     def run(batches):
         for pdf in batches:
             for p, c in zip(pdf["path"], pdf["content"], strict=True):
-                text = (gzip.decompress(c) if c[:2] == b"\x1f\x8b" else c).decode("utf-8", "replace")
-                yield __import__("pandas").DataFrame({"path": p, "line": [x for x in text.split("\n") if x.strip()]})
+                stream = io.BytesIO(c)
+                text = io.TextIOWrapper(gzip.GzipFile(fileobj=stream) if c[:2] == b"\x1f\x8b" else stream, "utf-8", "replace", newline="\n")
+                lines = (x.removesuffix("\n") for x in text)
+                while part := list(itertools.islice((x for x in lines if x.strip()), rows)):
+                    yield pd.DataFrame({"path": p, "line": part})
 
     return read_binary(spark, path).select("path", "content").mapInPandas(run, "path string, line string")
 
@@ -192,19 +236,20 @@ def concat_records(records: DataFrame, guards: DataFrame, guard_columns: list[st
 
 
 def same_graph(a: DataFrame, b: DataFrame) -> bool:
-    """Are two files' records the same up to numbering? Ids become line ranks; then records must agree one by one."""
+    """Are two files' records the same up to numbering? Ids become places in the order of ids; then records must agree one by one, and no place stand for two ids."""
 
-    def ranked(r):
-        w = Window.orderBy("id")
-        rank = r.select("id", F.row_number().over(w).alias("rank"))
+    def told(r):
+        rank = ranked(r.select("id"), [], [F.col("id")])
+        if rank.groupBy("id").count().filter("count > 1").isEmpty() is False:
+            raise ValueError("an id stands for two records")
         refs = r.select("id", "type", F.posexplode(F.split("args", "#")).alias("i", "p"))
-        ref = F.when(F.col("i") > 0, F.regexp_extract("p", "^[0-9]+", 0).cast("long"))
-        told = refs.withColumn("ref", ref).join(rank.select(F.col("id").alias("ref"), F.col("rank").alias("to")), "ref", "left")
+        ref = F.when(F.col("i") > 0, F.regexp_extract("p", "^[0-9]+", 0).try_cast("long"))
+        known = refs.withColumn("ref", ref).join(rank.select(F.col("id").alias("ref"), F.col("rank").alias("to")), "ref", "left")
         text = F.when(F.col("i") == 0, F.col("p")).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("to").cast("string"), F.lit("?")), F.regexp_replace("p", "^[0-9]+", "")))
-        args = told.withColumn("s", text).groupBy("id", "type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]), "").alias("args"))
+        args = known.withColumn("s", text).groupBy("id", "type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]), "").alias("args"))
         return args.join(rank, "id").select("rank", "type", "args")
 
-    x, y = ranked(a), ranked(b)
+    x, y = told(a), told(b)
     return x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
 from millrace.operators import audit, grade, graph, match, resolve, sample, spatial, text
+from millrace.operators.order import ranked, running, slices
 
 
 def one(spark, expr, **cols):
@@ -108,8 +109,8 @@ def test_classes_and_verdicts(spark):
 
 def test_dedup_keeps_references(spark):
     rows = spark.createDataFrame([("s", "b", 0), ("s", "a", 0), ("s", "z", 1), ("t", "q", 0)], "sha string, path string, native int")
-    got = {r.sha: (r.keep_id, r.dropped) for r in audit.content_dedup(rows, ["sha"], [-F.col("native"), F.col("path")], "path").collect()}
-    assert got == {"s": ("z", ["a", "b"]), "t": ("q", [])}
+    got = {r.path: (r.keep_id, r.n_copies, r.kept) for r in audit.content_dedup(rows, ["sha"], [-F.col("native"), F.col("path")], "path").collect()}
+    assert got == {"a": ("z", 3, False), "b": ("z", 3, False), "z": ("z", 3, True), "q": ("q", 1, True)}
 
 
 def test_delta(spark):
@@ -166,7 +167,7 @@ def test_sort_largest_keeps_all_rows(spark, tmp_path):
 
 def test_ranks_within_groups(spark):
     rows = [("a" if i % 10 else None, i * 7 % 1000) for i in range(1000)]
-    got = match.ranked(spark.createDataFrame(rows, "g string, v int"), ["g"], [F.col("v")]).collect()
+    got = ranked(spark.createDataFrame(rows, "g string, v int"), ["g"], [F.col("v")]).collect()
     by = {g: sorted(v for h, v in rows if h == g) for g in ("a", None)}
     assert len(got) == 1000 and all(by[r.g][r["rank"] - 1] == r.v for r in got)
 
@@ -312,3 +313,118 @@ def test_a_large_hierarchy(spark):
     for i in range(1, n):
         depth[i] = depth[(i - 1) // 3] + 1
     assert tuple(got) == (n, max(depth), sum(depth), 0) and sum(depth) > 1_000_000
+
+
+def test_running_sums_and_slices(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(("a", "b", None)), i, rng.randrange(5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, i int, w int").repartition(5)
+    got = running(df, ["g"], [F.col("i")], F.col("w"), "upto", "all").collect()
+    for r in got:
+        own = [(i, w) for g, i, w in rows if g == r.g]
+        assert r["upto"] == sum(w for i, w in own if i <= r.i) and r["all"] == sum(w for _, w in own)
+    for by in (["g"], []):
+        tiles = slices(df, by, [F.col("i")], 7).collect()
+        for g in ("a", "b", None) if by else (0,):
+            own = sorted((r.i, r.tile) for r in tiles if not by or r.g == g)
+            sizes = [sum(t == k for _, t in own) for k in range(1, 8)]
+            assert [t for _, t in own] == sorted(t for _, t in own) and max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+    assert slices(df.limit(0), [], [F.col("i")], 3).count() == 0
+
+
+def test_matching_keeps_null_keys_apart(spark):
+    a, b = (spark.createDataFrame([(None, i), ("x", i)], "k string, id int") for i in (1, 2))
+    got = match.bag_match(a, b, ["k"], ["id"], ["id"]).collect()
+    assert sorted((r.k or "", r.l is not None, r.r is not None) for r in got) == [("", False, True), ("", True, False), ("x", True, True)]
+    assert sorted(r.status for r in match.reconcile(a, b, ["k"]).collect()) == ["both", "only_left", "only_right"]
+    assert sorted((r.expected, r.found) for r in match.match_counts(a, b, ["k"]).collect()) == [(0, 1), (1, 0), (1, 1)]
+    assert match.sorted_pairs(a, b, ["k"], ["id"], ["id"]).count() == 1
+
+
+@pytest.mark.parametrize("block", [1, 7, 1_000_000])
+def test_bag_overlap(spark, block):
+    from collections import Counter
+
+    rng = random.Random(6)
+    bag = lambda n: [rng.choice("abcdefgh") for _ in range(n)]
+    q, rows = [(i, bag(rng.randrange(6))) for i in range(6)], [(i, bag(rng.randrange(12))) for i in range(20)] + [(99, None)]
+    got = match.bag_overlap(spark.createDataFrame(q, "q long, w array<string>"), spark.createDataFrame(rows, "r long, w array<string>"), "q", "r", "w", 0.5, block).collect()
+    want = {}
+    for i, x in q:
+        for j, y in rows:
+            n = (Counter(x) & Counter(y or ())).total()
+            if n and n >= 0.5 * min(len(x), len(y)):
+                want[i, j] = (n, round(n / min(len(x), len(y)), 4), round(n / (len(x) + len(y) - n), 4))
+    assert {(r.q, r.r): (r.shared, r.overlap, r.jaccard) for r in got} == want and len(got) == len(want)
+
+
+def test_one_to_one_on_a_whole_table(spark, small):
+    from millrace.plans.catalogue import QUERIES
+
+    rows = [(r.vec_id, *map(float, r.embedding[:3])) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    want = greedy_by_hand([r for r in rows if r[0] % 2 == 0], [r for r in rows if r[0] % 2], 0.05)
+    assert {(r.l_vec_id, r.r_vec_id) for r in QUERIES["x7_one_to_one"](spark, small).collect()} == want
+
+
+def test_a_chain_of_points(spark):
+    pts, x = [], 0.0
+    for i in range(120):
+        pts.append((i, x))
+        x += 1.0 - i * 0.004  # each point is nearer to the next one
+    left, right = ([p for p in pts if p[0] % 2 == k] for k in (0, 1))
+    a, b = (spark.createDataFrame(t, "id int, x double") for t in (left, right))
+    got = {(r.l_id, r.r_id) for r in spatial.match_points(a, b, ["x"], 2.0, "id").collect()}
+    assert got == greedy_by_hand(left, right, 2.0) and len(got) == 60
+
+
+def test_match_passes(spark):
+    import math
+
+    rng = random.Random(12)
+    a, b = ([(i, rng.uniform(0, 4), rng.uniform(0, 4), rng.choice((0.0, 1.0, 1.01, 2.0))) for i in range(40)] for _ in range(2))
+    x, y = (spark.createDataFrame(t, "id int, x double, y double, v double") for t in (a, b))
+    got = {(r.l_id, r.r_id, r["pass"]) for r in spatial.match_passes(x, y, ["x", "y"], "id", "v", 0.5, 0.05, 1.0, 3).collect()}
+    cand = []
+    for j, bx, by, bv in b:
+        near = sorted((((ax - bx) * (ax - bx) + (ay - by) * (ay - by)) ** 0.5, i, av) for i, ax, ay, av in a)
+        for d, i, av in [n for n in near if n[0] <= 1.0][:3]:
+            ratio = av / bv if bv > 0 else 1.0 if av == 0 else None
+            cand.append((d, abs(math.log(ratio)) if ratio else 99.0, i, j, ratio))
+    cand.sort(key=lambda c: c[:4])
+    want, ua, ub = set(), set(), set()
+    for kind in ("exact", "near"):
+        for d, _, i, j, ratio in cand:
+            if i not in ua and j not in ub and (kind == "near" or (d <= 0.5 and ratio is not None and abs(ratio - 1) <= 0.05)):
+                want.add((i, j, kind))
+                ua.add(i), ub.add(j)
+    assert got == want
+
+
+def test_tolerance_join(spark):
+    rng = random.Random(13)
+    rows = lambda: [(i, rng.choice((1, -1)) * 10 ** rng.uniform(-1, 5), rng.uniform(0, 40)) for i in range(150)]
+    a, b = rows(), rows()
+    b += [(200 + i, v * rng.uniform(0.94, 1.06), w) for i, v, w in a]
+    x, y = (spark.createDataFrame(t, "id int, v double, w double") for t in (a, b))
+    near = lambda p, q, absolute, relative: abs(p - q) <= max(absolute, relative * abs(q))
+    for tolerances in ({"v": (10.0, 0.05), "w": (3.0, 0.0)}, {"w": (0.5, 0.0)}):
+        got = {(r.l_id, r.r_id) for r in spatial.tolerance_join(x, y, tolerances).collect()}
+        at = {"v": 1, "w": 2}
+        assert got == {(p[0], q[0]) for p in a for q in b if all(near(p[at[c]], q[at[c]], *t) for c, t in tolerances.items())}
+
+
+def test_quota_with_truth(spark):
+    rows = [("a", i, i % 10 == 0) for i in range(100)] + [("b", 1000, False)]
+    got = sample.quota_sample(spark.createDataFrame(rows, "s string, id int, t boolean"), "s", "id", 20, "q", F.col("t")).collect()
+    assert sum(r.t for r in got if r.s == "a") >= 9 and sum(r.s == "a" for r in got) == 19 and sum(r.s == "b" for r in got) == 1
+
+
+def test_refresh_and_residual(spark):
+    src = spark.createDataFrame([("k1", 5, 10), ("k2", 9, 10), ("k3", 1, 11)], "key string, modified long, size long")
+    cop = spark.createDataFrame([("p", "k1", 6, 10), ("p", "k2", 6, 10), ("q", "k3", 6, 10), ("q", "k4", 1, 1)], "project string, key string, modified long, size long")
+    assert {r.key: r.state for r in audit.refresh_plan(src, cop, "key", "project").collect()} == {"k1": "fresh", "k2": "stale", "k3": "stale", "k4": "missing"}
+    packs = spark.createDataFrame([("a", "s1", 3), ("b", "s2", 1), ("c", None, 1), ("d", "s4", 0), ("e", "s5", 2), ("f", "s6", 2)], "id string, source string, n_rows long")
+    mapped = spark.createDataFrame([("s1", "r1", 10), ("s2", "r2", 10), ("s5", "r5", 1)], "source string, rel string, size long")
+    later = spark.createDataFrame([("r1", 10), ("r2", 11)], "rel string, size long")
+    got = {r.id: r.reason for r in audit.residual(packs, mapped, later, "source").collect()}
+    assert got == {"a": "same_size_on_later_disk", "b": "later_copy_differs_size", "c": "unknown_source", "d": "no_rows", "e": "not_on_later_disk", "f": "source_not_mapped"}
