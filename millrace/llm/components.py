@@ -1,4 +1,4 @@
-"""Connected components of an edge table, and groups dealt in blocks."""
+"""Connected components of an edge table, groups dealt in blocks, and joins with hot keys."""
 
 from __future__ import annotations
 
@@ -52,3 +52,19 @@ def in_blocks(rows: DataFrame, group: str, member: str, n: str, size: int) -> Da
     rows = rows.withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other")
+
+
+#: A key is hot with more than one row in so many: there are at most so many hot keys, whatever the table.
+HOT = 1000
+
+
+def join_salted(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread, how: str = "inner", salts: int = 64) -> DataFrame:
+    """left.join(right, key, how), with the left rows of hot keys (at most HOT, so broadcast) dealt to several tasks by the columns in `spread`.
+
+    The right side has few rows a key; those of hot keys are repeated for each salt.
+    """
+    mark = F.broadcast(hot.select(F.col(key).alias("_k")).withColumn("_hot", F.lit(True)))
+    a = left.join(mark, F.col(key) == F.col("_k"), "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("long"))).drop("_hot", "_k")
+    each = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    b = right.join(mark, F.col(key) == F.col("_k"), "left").withColumn("_salt", F.explode(each)).drop("_hot", "_k")
+    return a.join(b, [key, "_salt"], how).drop("_salt")

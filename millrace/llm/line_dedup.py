@@ -1,17 +1,18 @@
 """Line dedup by a segment-partition edit join.
 
 A line of at least MIN_CHARS code points goes where an equal line stands earlier, or where a line whose first occurrence is
-earlier lies within EDITS edits of it. Order: doc_id (nulls last), then line number.
+earlier lies within EDITS edits of it. Order: doc_id (nulls last, then by a hash of the text), then line number.
 
 Of two lines within k edits, the shorter's k + 1 segments hold one that the longer has whole, at a position close to
 the segment's own. So each distinct line is an entry under its segments (with length and place), and a probe for the
 substrings of its own that segments of lines as long, or up to k shorter, could equal. Entries and probes are dealt out
 by their key's hash, packed in binary rows; a key with both makes a bucket. Members of a bucket meet in blocks, are
-sifted by letter counts where there are many, and are verified with a banded bit-parallel edit distance on the whole lines. Only lines to be
+sifted by letter counts where there are many, and are verified with a banded bit-parallel edit distance on the whole lines. A bucket larger than a block is
+judged within its blocks first, which leaves few lines of a group of near copies; those that are left then meet the whole bucket. Only lines to be
 dropped leave a bucket, never pairs.
 
 Shorter lines stay, and so do null texts. Rows that repeat a doc_id are one document, and keep the same lines: repeated rows stay
-equal. An empty table gives no rows. Columns with clashing names pass through.
+equal. Without a doc_id each text is a document. Texts and lines of any length count whole. An empty table gives no rows. Columns with clashing names pass through.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.columns import packed, unpacked
-from millrace.llm.components import in_blocks
+from millrace.llm.components import HOT, join_salted
 from millrace.session import Stash, partitions
 
 EDITS, MIN_CHARS = 2, 20
 BLOCK = 512
 #: Bits of the bounded filter of lines that a bucket holds. A full filter lets more lines pass and changes no result.
 FILTER_BITS = 1 << 26
+#: Bytes that a line's entries and probes take (about), and those of a part that a task holds.
+LINE_BYTES, PART_BYTES = 200, 64 << 20
 
 
 def segments(n: int, k: int) -> list[tuple[int, int]]:
@@ -109,7 +112,7 @@ def _split(edits, least, parts):
 
     def run(batches):
         shapes: dict[int, tuple] = {}
-        seen: set[int] = set()
+        seen: dict[int, int] = {}
         keys, lines = ([], []), ([], [])
 
         def flush():
@@ -141,11 +144,11 @@ def _split(edits, least, parts):
                     if n < least:
                         continue
                     h = line_hash(line)
-                    if h in seen:
+                    if seen.get(h) == (other := hash(line)):  # 128 bits together
                         continue
                     if len(seen) > 500_000:
                         seen.clear()
-                    seen.add(h)
+                    seen[h] = other
                     shape = shapes.get(n)
                     if shape is None:
                         if len(shapes) > 20_000:
@@ -174,21 +177,16 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _buckets(batches):
-    """Members of the keys that have an entry and a probe of different lines: bucket, line, kind (1 entry, 2 probe, 3 both), n."""
-    got: dict[int, tuple[list, list]] = {}
-    for b in batches:
-        for p, e, q in zip(b.column("part").to_pylist(), b.column("entries").to_pylist(), b.column("probes").to_pylist(), strict=True):
-            mine = got.setdefault(p, ([], []))
-            mine[0].append(e), mine[1].append(q)
-    for p in sorted(got):
-        (ek, eh), (pk, ph) = _unpack(got[p][0]), _unpack(got[p][1])
-        got[p] = ([], [])
+    """Members of the keys that have an entry and a probe of different lines: bucket, line, kind (1 entry, 2 probe, 3 both), n. Rows come part by part."""
+
+    def members(p, entries, probes):
+        (ek, eh), (pk, ph) = _unpack(entries), _unpack(probes)
         both = np.intersect1d(ek, pk)
         e, q = np.isin(ek, both), np.isin(pk, both)
         key, line = np.concatenate([ek[e], pk[q]]), np.concatenate([eh[e], ph[q]])
         kind = np.concatenate([np.ones(int(e.sum()), np.int32), np.full(int(q.sum()), 2, np.int32)])
         if not len(key):
-            continue
+            return
         order = np.lexsort((kind, line, key))
         key, line, kind = key[order], line[order], kind[order]
         new = np.ones(len(key), bool)
@@ -204,6 +202,17 @@ def _buckets(batches):
         bucket = key[keep] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(p)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket.astype(np.int64)), "h": pa.array(line[keep].astype(np.int64)), "kind": pa.array(kind[keep]), "n": pa.array(n[keep].astype(np.int32))})
 
+    part, entries, probes_ = None, [], []
+    for b in batches:
+        for p, e, q in zip(b.column("part").to_pylist(), b.column("entries").to_pylist(), b.column("probes").to_pylist(), strict=True):
+            if p != part:
+                if part is not None:
+                    yield from members(part, entries, probes_)
+                part, entries, probes_ = p, [], []
+            entries.append(e), probes_.append(q)
+    if part is not None:
+        yield from members(part, entries, probes_)
+
 
 def bounded_filter(rows: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """Bits of the values' low digits, as many as 16 for each value up to `bits`; 1/64 as many rows reach the driver at most."""
@@ -221,8 +230,8 @@ def _wanted(least, held):
         words = held.value
         top = len(words) * 64 - 1
         for b in batches:
-            out = {"doc_id": [], "pos": [], "h": [], "text": []}
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            out = {"none": [], "did": [], "pos": [], "h": [], "text": []}
+            for none, did, text in zip(b.column("none").to_pylist(), b.column("did").to_pylist(), b.column("text").to_pylist(), strict=True):
                 if not text:
                     continue
                 lines = text.split("\n")
@@ -231,9 +240,9 @@ def _wanted(least, held):
                 low = h & np.uint64(top)
                 hit = np.flatnonzero(words[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1))
                 for x in hit:
-                    for c, v in zip(out.values(), (doc_id, own[x], int(h[x].astype(np.int64)), lines[own[x]]), strict=True):
+                    for c, v in zip(out.values(), (none, did, own[x], int(h[x].astype(np.int64)), lines[own[x]]), strict=True):
                         c.append(v)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(out["doc_id"], pa.int64()), "pos": pa.array(out["pos"], pa.int32()), "h": pa.array(out["h"], pa.int64()), "text": pa.array(out["text"], pa.string())})
+            yield pa.RecordBatch.from_pydict({"none": pa.array(out["none"], pa.bool_()), "did": pa.array(out["did"], pa.int64()), "pos": pa.array(out["pos"], pa.int32()), "h": pa.array(out["h"], pa.int64()), "text": pa.array(out["text"], pa.string())})
 
     return run
 
@@ -246,28 +255,29 @@ def _letters(lines: list[str]) -> np.ndarray:
 
 
 def _drops(edits):
-    """Keys of the lines that have an earlier line within `edits`. Rows sorted by bucket and pair of blocks."""
+    """Keys of the lines that have an earlier line within `edits`. Rows sorted by bucket and block.
+
+    role 0: all rows of a block against each other. Role 1 (lines that are asked about) against role 2 (the whole bucket's): later ones of role 1 go.
+    """
 
     def near(rows):
-        # rows: own, kind, key, order, text, lo, hi
-        lo, hi = rows[0][5], rows[0][6]
-        entries = [r for r in rows if r[1] & 1]
-        asks = [r for r in rows if r[1] & 2]
+        # rows: role, kind, key, order, text
         gone = set()
 
         def pair(r, s):
-            if r[2] == s[2] or (lo != hi and r[0] == s[0]):
+            if r[2] == s[2] or (r[0] and r[0] == s[0]):
                 return
             later = r if r[3] > s[3] else s
-            if later[2] not in gone and within(r[4], s[4], edits):
+            if later[0] != 2 and later[2] not in gone and within(r[4], s[4], edits):
                 gone.add(later[2])
 
-        if len(entries) * len(asks) <= 400:
-            for r in entries:
-                for s in asks:
-                    if 0 <= len(s[4]) - len(r[4]) <= edits:
-                        pair(r, s)
-        else:
+        def judge(entries, asks):
+            if len(entries) * len(asks) <= 400:
+                for r in entries:
+                    for s in asks:
+                        if 0 <= len(s[4]) - len(r[4]) <= edits:
+                            pair(r, s)
+                return
             a, b = _letters([r[4] for r in entries]), _letters([s[4] for s in asks])
             na, nb = a.sum(1), b.sum(1)
             for i in range(len(a)):
@@ -276,18 +286,24 @@ def _drops(edits):
                     maybe = maybe[np.abs(b[maybe] - a[i]).sum(1) <= 2 * edits]
                 for x in maybe:
                     pair(entries[i], asks[x])
+
+        role = lambda x, kind: [r for r in rows if r[0] == x and r[1] & kind]
+        for x, y in ((0, 0), (1, 2), (2, 1)):
+            entries, asks = role(x, 1), role(y, 2)
+            if entries and asks:
+                judge(entries, asks)
         return gone
 
     def run(batches):
         group, rows = None, []
         for b in batches:
             out = []
-            for bucket, own, kind, key, null, doc, pos, text, lo, hi in zip(*(b.column(n).to_pylist() for n in ("bucket", "own", "kind", "key", "no_id", "doc_id", "pos", "text", "lo", "hi")), strict=True):
+            for bucket, role, kind, key, none, did, pos, text, lo, hi in zip(*(b.column(n).to_pylist() for n in ("bucket", "role", "kind", "key", "none", "did", "pos", "text", "lo", "hi")), strict=True):
                 if (bucket, lo, hi) != group:
                     if rows:
                         out += near(rows)
                     group, rows = (bucket, lo, hi), []
-                rows.append((own, kind, key, (null, doc or 0, pos, key), text, lo, hi))  # null and repeated ids share places; the key parts them
+                rows.append((role, kind, key, (none, did, pos, key), text))  # repeated ids share places; the key parts them
             yield pa.RecordBatch.from_pydict({"key": pa.array(out, pa.binary())})
         if rows:
             yield pa.RecordBatch.from_pydict({"key": pa.array(list(near(rows)), pa.binary())})
@@ -313,36 +329,67 @@ def _cleaned(least, names):
     return run
 
 
+def _identity():
+    """Columns that name a document: whether its id is null, and the id (without one, a hash of the text)."""
+    return [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("did")]
+
+
 def dropped_lines(docs: DataFrame, stash: Stash, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, _drops): line numbers to drop, with the lines' hashes, of each document that has any."""
+    """(none, did, _drops): line numbers to drop, with the lines' hashes, of each document that has any."""
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.length("line") >= least)
-    lines = lines.select("doc_id", "pos", F.unhex(F.md5("line")).alias("key"), F.xxhash64("line").alias("h"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos")
-    firsts = stash.put(lines.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")))
-    parts = partitions(spark)
-    packed = source.select("text").mapInArrow(_split(edits, least, parts), "part int, entries binary, probes binary")
-    members = stash.put(packed.repartition("part").mapInArrow(_buckets, "bucket long, h long, kind int, n int"))
+    source = docs.select(*_identity(), "text")
+    lines = source.select("none", "did", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.length("line") >= least)
+    lines = lines.select("none", "did", "pos", F.unhex(F.md5("line")).alias("key"), F.xxhash64("line").alias("h"))
+    firsts = stash.put(lines.groupBy("key").agg(F.min(F.struct("none", "did", "pos")).alias("first"), F.count("*").alias("n")))
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    tasks = partitions(spark)
+    parts = max(4 * tasks, -(-total * LINE_BYTES // PART_BYTES))
+    packed_ = source.select("text").mapInArrow(_split(edits, least, parts), "part int, entries binary, probes binary")
+    dealt = packed_.repartitionById(tasks, F.col("part") % tasks).sortWithinPartitions("part")
+    members = stash.put(dealt.mapInArrow(_buckets, "bucket long, h long, kind int, n int"))
     held = spark.sparkContext.broadcast(bounded_filter(members.select("h").distinct(), "h"))
-    texts = source.mapInArrow(_wanted(least, held), "doc_id long, pos int, h long, text string").withColumn("key", F.unhex(F.md5("text")))
-    texts = texts.join(firsts.select("key", "first"), "key").filter(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos")))
-    texts = texts.dropDuplicates(["key"]).select("h", "key", F.col("first.no_id").alias("no_id"), "doc_id", "pos", "text")
-    meet = in_blocks(members, "bucket", "h", "n", BLOCK).join(texts, "h").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "key")
-    near = stash.put(meet.select("bucket", "own", "kind", "key", "no_id", "doc_id", "pos", "text", "lo", "hi").mapInArrow(_drops(edits), "key binary").distinct())
-    bad = firsts.join(near.withColumn("near", F.lit(True)), "key", "left").filter("n > 1 or near")
-    again = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos")))
-    out = lines.join(bad.select("key", "first", "near"), "key").filter(F.col("near") | again)
-    return out.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("_drops"))
+    texts = source.mapInArrow(_wanted(least, held), "none boolean, did long, pos int, h long, text string").withColumn("key", F.unhex(F.md5("text")))
+    # By the first occurrence's place, so that a common line doesn't gather at its key.
+    texts = texts.join(firsts.select("key", "first.*"), ["key", "none", "did", "pos"])
+    texts = stash.put(texts.dropDuplicates(["key", "none", "did", "pos"]))
+
+    def judged(rows):
+        meet = rows.join(texts, "h").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "key")
+        return stash.put(meet.select("bucket", "role", "kind", "key", "none", "did", "pos", "text", "lo", "hi").mapInArrow(_drops(edits), "key binary").distinct())
+
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("h"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    near = judged(members.select("bucket", "h", "kind", F.lit(0).alias("role"), block("n").alias("lo"), F.lit(0).alias("hi")))
+    large = members.filter(F.col("n") > BLOCK)
+    if not large.isEmpty():
+        left = large.join(texts.join(near, "key", "left_anti").select("h").distinct(), "h")
+        asked = stash.put(left.join(left.groupBy("bucket").agg(F.count("*").cast("int").alias("m")), "bucket"))
+        asks = asked.select("bucket", "h", "kind", F.lit(1).alias("role"), block("m").alias("lo"), every("n").alias("hi"))
+        rest = large.join(asked.select("bucket", "m").distinct(), "bucket")
+        rest = rest.select("bucket", "h", "kind", F.lit(2).alias("role"), every("m").alias("lo"), "n").select("bucket", "h", "kind", "role", "lo", block("n").alias("hi"))
+        near = stash.put(near.unionByName(judged(asks.unionByName(rest))).distinct())
+    bad = stash.put(firsts.join(near.withColumn("near", F.lit(True)), "key", "left").filter("n > 1 or near"))
+    hot = bad.filter(F.col("n") * HOT > total).select("key")
+    out = join_salted(lines, bad.select("key", "first", "near"), "key", hot, ["did", "pos"])
+    again = ~((F.col("none") == F.col("first.none")) & (F.col("did") == F.col("first.did")) & (F.col("pos") == F.col("first.pos")))
+    return out.filter(F.coalesce("near", F.lit(False)) | again).groupBy("none", "did").agg(F.collect_set(F.struct("pos", "h")).alias("_drops"))
+
+
+def _dedup(docs: DataFrame, edits: int, least: int) -> DataFrame:
+    """packed() rows without their dropped lines, with _n_lines and _gone."""
+    drops = dropped_lines(docs, Stash(docs.sparkSession, "line-dedup"), edits, least)
+    both = docs.select("*", *_identity()).join(drops, ["none", "did"], "left").drop("none", "did")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return both.mapInArrow(_cleaned(least, docs.columns), f"{schema}, _n_lines long, _gone array<int>")
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
-    """`docs` with the lines dropped from `text`, and _n_lines (before) and _gone (the numbers of dropped lines)."""
-    stash = Stash(docs.sparkSession, "line-dedup")
-    drops = dropped_lines(docs, stash, edits, least).withColumnRenamed("doc_id", "_id")
-    both = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return both.mapInArrow(_cleaned(least, docs.columns), f"{schema}, _n_lines long, _gone array<int>")
+    """`docs` with the lines dropped from `text`, and _n_lines (before) and _gone (the numbers of dropped lines), in place of columns of these names."""
+    columns = [c for c in docs.columns if c not in ("_n_lines", "_gone")]
+    out = _dedup(packed(docs), edits, least)
+    rest = [F.col(c) if c in ("doc_id", "text") else F.col("_rest").getField(c).alias(c) for c in columns]
+    return out.select(*rest, "_n_lines", "_gone")
 
 
 def op5_line_dedup(spark, sf_dir):
@@ -352,8 +399,12 @@ def op5_line_dedup(spark, sf_dir):
 
 
 def dedup_lines_stage(spark, docs, sf_dir):
-    """Pipeline stage: texts lose their repeated lines. A document that had words and has none left goes: all it said stands elsewhere."""
-    out = dedup_lines(packed(docs))
+    """Pipeline stage: texts lose their repeated lines. A document that had words and has none left goes: all it said stands elsewhere.
+
+    Null and empty texts stay. Other columns pass through, whatever their names, but n_chars, which is counted anew. The module says what null ids, repeated rows and
+    long texts mean; an empty table gives no rows.
+    """
+    out = _dedup(packed(docs), EDITS, MIN_CHARS)
     blank = F.regexp_replace("text", r"(?U)\s+", "") == ""
     kept = unpacked(out.filter((F.size("_gone") == 0) | ~blank), docs.columns)
     if "n_chars" in docs.columns:
