@@ -6,14 +6,18 @@ open row whose free capacity fits best, found in a segment tree over capacities.
 next one, up to a fixed number. No shuffle, and memory that depends on the window alone.
 
 A packed row has its ids as little-endian numbers padded to `size`, the cumulative lengths of its segments
-(starting with 0), the offsets at which positions begin anew at 0, and doc_id and start of each segment.
-Null texts are empty documents (the end id alone); repeated rows and ids, and null ids, are documents of their own.
-An empty table gives no rows. Other columns are not read.
+(starting with 0), the offsets at which positions begin anew at 0, and doc_id and start of each segment. write_shards() puts rows into
+binary files of a bounded number of rows under a folder that all executors share, with a manifest; read_shards() gives the rows of such files. The query writes, and
+returns what it reads back.
+
+Null texts are empty documents (the end id alone); repeated rows and ids, and null ids, are documents of their own; a text of any length is split
+without loss. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from itertools import accumulate
 
 import numpy as np
@@ -24,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.pretokens import shared
+from millrace.session import Stash, partitions
 
 SIZE = 2048
 END_ID = 1
@@ -32,6 +37,8 @@ PAD_ID = 0
 WINDOW = 1 << 21
 #: Rows that stay open from one window to the next.
 OPEN = 256
+#: Rows of a binary file at most.
+FILE_ROWS = 8192
 
 SCHEMA = "sequence_id long, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, starts array<long>, doc_tokens array<long>"
 
@@ -93,6 +100,9 @@ def best_fit_decreasing(lengths: list[int], size: int, free: list[int] = ()) ->
 def _pack(path, size, end_id, pad_id, window, dtype):
     def run(batches):
         tok, part = shared(path), TaskContext.get().partitionId()
+        top = max(tok.lib.get_vocab_size(with_added_tokens=True) - 1, end_id, pad_id)
+        if top > np.iinfo(dtype).max:
+            raise ValueError(f"ids of up to {top} don't fit {dtype}")
         made, held, pieces, opened = 0, 0, [], []  # pieces: (doc_id, start, ids, doc_tokens); opened: rows of pieces
 
         def rows_of(packs):
@@ -142,35 +152,125 @@ def pack_ids(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = EN
     return source.mapInArrow(_pack(tokenizer, size, end_id, pad_id, window, dtype), SCHEMA)
 
 
-def write_shards(packed: DataFrame, url: str) -> DataFrame:
-    """Writes each task's rows as binary files under `url` (any pyarrow filesystem) and returns the manifest.
+MANIFEST = "name string, first long, n_rows long, n_tokens long, n_segments long, ids_crc32 long"
+
+
+def _write(url, file_rows):
+    def run(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(url)
+        store.create_dir(root, recursive=True)
+        kinds, made, open_ = ("ids", "cu", "pos", "docs"), [], None
+
+        def end():
+            nonlocal open_
+            outs, row = open_
+            for o in outs:
+                o.close()
+            open_ = None
+            return pa.RecordBatch.from_pydict({k: pa.array([v], pa.string() if k == "name" else pa.int64()) for k, v in row.items()})
+
+        try:
+            for b in batches:
+                cols = [b.column(c).to_pylist() for c in ("sequence_id", "ids", "cu_seqlens", "n_tokens", "doc_ids", "starts", "doc_tokens")]
+                for seq, ids, cu, n, doc_ids, starts, totals in zip(*cols, strict=True):
+                    if open_ is None:
+                        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}"
+                        made.append(name)
+                        open_ = [store.open_output_stream(f"{root}/{name}.{k}.bin") for k in kinds], {"name": name, "first": seq, "n_rows": 0, "n_tokens": 0, "n_segments": 0, "ids_crc32": 0}
+                    outs, row = open_
+                    outs[0].write(ids)
+                    outs[1].write(np.array([len(cu), *cu], "<i4").tobytes())
+                    outs[2].write(np.array([len(cu) - 1, *cu[:-1]], "<i4").tobytes())
+                    outs[3].write(np.array([(i is not None, i or 0, s, t) for i, s, t in zip(doc_ids, starts, totals, strict=True)], "<i8").tobytes())
+                    row["ids_crc32"] = zlib.crc32(ids, row["ids_crc32"])
+                    for k, v in (("n_rows", 1), ("n_tokens", n), ("n_segments", len(doc_ids))):
+                        row[k] += v
+                    if row["n_rows"] >= file_rows:
+                        yield end()
+            if open_:
+                yield end()
+        except Exception:
+            for o in open_[0] if open_ else ():
+                o.close()
+            for name in made:
+                for k in kinds:
+                    store.delete_file(f"{root}/{name}.{k}.bin")
+            raise
+
+    return run
+
+
+def write_shards(packed: DataFrame, url: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Writes each task's rows as binary files under `url` (any pyarrow filesystem that all executors share) and returns the manifest.
 
     `<name>.ids.bin`: the id matrix, row after row; `<name>.cu.bin`: int32 cumulative lengths, each row's count
-    first; `<name>.pos.bin`: uint16 positions, at 0 again where a segment begins. A task that is run again writes new names;
-    only names in the manifest count.
+    first; `<name>.pos.bin`: int32 offsets in the row at which positions begin anew at 0, their count first; `<name>.docs.bin`: four int64 a segment (1, or 0 for a null id; doc_id; start; the
+    document's tokens). A task that fails takes its files away; one that is run again, or lost with its executor, leaves or writes other names;
+    only names in the manifest count. So write the manifest out once, and read that.
     """
+    return packed.mapInArrow(_write(url, file_rows), MANIFEST)
+
+
+def pack_shards(docs: DataFrame, tokenizer: str, url: str, file_rows: int = FILE_ROWS, size: int = SIZE, end_id: int = END_ID, pad_id: int = PAD_ID, window: int = WINDOW, dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """write_shards(pack_ids(...)) in one function: rows go to the files from where they are packed."""
+    pack, write = _pack(tokenizer, size, end_id, pad_id, window, dtype), _write(url, file_rows)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return source.mapInArrow(lambda batches: write(pack(batches)), MANIFEST)
+
+
+def read_shards(manifest: DataFrame, url: str, size: int = SIZE, dtype: str = "<u2") -> DataFrame:
+    """The packed rows (SCHEMA) of the files that a manifest names. A file whose ids are not those that were written is an error."""
 
     def run(batches):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(url)
-        store.create_dir(root, recursive=True)
-        name, rows = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}", 0
-        outs = [store.open_output_stream(f"{root}/{name}.{k}.bin") for k in ("ids", "cu", "pos")]
-        for b in batches:
-            for ids, cu, n in zip(b.column("ids").to_pylist(), b.column("cu_seqlens").to_pylist(), b.column("n_tokens").to_pylist(), strict=True):
-                starts = np.repeat(cu[:-1], np.diff(cu))
-                outs[0].write(ids)
-                outs[1].write(np.array([len(cu), *cu], "<i4").tobytes())
-                outs[2].write((np.arange(n) - starts).astype("<u2").tobytes())
-                rows += 1
-        for o in outs:
-            o.close()
-        yield pa.RecordBatch.from_pydict({"name": pa.array([name] if rows else [], pa.string()), "n_rows": pa.array([rows] if rows else [], pa.int64())})
 
-    return packed.mapInArrow(run, "name string, n_rows long")
+        def load(name, kind, dtype):
+            with store.open_input_stream(f"{root}/{name}.{kind}.bin") as f:
+                return np.frombuffer(f.read(), dtype)
+
+        wide = size * np.dtype(dtype).itemsize
+        for b in batches:
+            for name, first, n_rows, crc in zip(*(b.column(c).to_pylist() for c in ("name", "first", "n_rows", "ids_crc32")), strict=True):
+                raw, cu, docs = load(name, "ids", np.uint8), load(name, "cu", "<i4"), load(name, "docs", "<i8").reshape(-1, 4)
+                if len(raw) != n_rows * wide or zlib.crc32(raw) != crc:
+                    raise ValueError(f"{name}.ids.bin is not what the manifest says")
+                ends, at = [], 0
+                for _ in range(n_rows):
+                    ends.append((at + 1, at + 1 + int(cu[at])))
+                    at = ends[-1][1]
+                seg = np.concatenate([[0], np.cumsum([y - x - 1 for x, y in ends])])
+                ids_of = pa.array(np.where(docs[:, 0] == 1, docs[:, 1], 0), pa.int64(), mask=docs[:, 0] == 0)
+                for lo in range(0, n_rows, 512):
+                    to = min(lo + 512, n_rows)
+                    part, off = slice(int(seg[lo]), int(seg[to])), pa.array(seg[lo : to + 1] - seg[lo], pa.int32())
+                    cus = np.concatenate([cu[x:y] for x, y in ends[lo:to]])
+                    resets = np.concatenate([cu[x : y - 1] for x, y in ends[lo:to]])
+                    cut = pa.array(seg[lo : to + 1] - seg[lo] + np.arange(to - lo + 1), pa.int32())
+                    listed = lambda v: pa.ListArray.from_arrays(off, v)  # noqa: B023, E731
+                    cols = {
+                        "sequence_id": pa.array(first + np.arange(lo, to), pa.int64()),
+                        "n_tokens": pa.array([int(cu[y - 1]) for _, y in ends[lo:to]], pa.int32()),
+                        "ids": pa.array([raw[i * wide : (i + 1) * wide].tobytes() for i in range(lo, to)], pa.binary()),
+                        "cu_seqlens": pa.ListArray.from_arrays(cut, pa.array(cus, pa.int32())),
+                        "position_resets": listed(pa.array(resets, pa.int32())),
+                        "doc_ids": listed(ids_of[part.start : part.stop]),
+                        "starts": listed(pa.array(docs[part, 2])),
+                        "doc_tokens": listed(pa.array(docs[part, 3])),
+                    }
+                    yield pa.RecordBatch.from_pydict(cols)
+
+    return manifest.select("name", "first", "n_rows", "ids_crc32").mapInArrow(run, SCHEMA)
 
 
 def op4_token_output(spark, sf_dir):
+    """Writes the binary files below the shared folder, and gives the rows that they hold."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_ids(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    stash = Stash(spark, "token-output")
+    url = f"{stash.base}/files"
+    manifest = stash.put(pack_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), url))
+    files = manifest.count()
+    return read_shards(manifest.repartition(max(1, min(files, 4 * partitions(spark)))), url)
