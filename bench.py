@@ -7,7 +7,7 @@ import os
 import time
 
 from millrace.plans.catalogue import QUERIES
-from millrace.session import build_session
+from millrace.session import build_session, owned
 
 #: One or two of each family; `noop` writes run a query to its end without collecting it.
 HEADLINE = (
@@ -21,7 +21,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", partitions=int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
-    run = lambda q: QUERIES[q](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+    def run(q):
+        with owned(spark):
+            QUERIES[q](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
     run(HEADLINE[0])  # start-up is not a query's time
     took = {}
     for q in HEADLINE:

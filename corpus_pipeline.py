@@ -14,7 +14,11 @@ from millrace.session import Stash
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents with their places in sequences."""
+    """Pipeline stage: the pieces of all documents with their places in sequences.
+
+    A null text is an empty document; repeated rows, equal and null ids are documents of their own; a long text is cut into several pieces. An empty table gives no rows. Other columns, whatever
+    their names, are not read.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -31,9 +35,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each but the last is written and read again."""
+    """All stages over `documents`; each but the last is written and read again, and goes when the next one is written."""
     stash = Stash(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stash.put(stage(spark, docs, sf_dir))
+    for _, stage in STAGES[:-1]:
+        docs, before = stash.put(stage(spark, docs, sf_dir)), docs
+        stash.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -55,7 +55,7 @@ def package_checks(manifest: DataFrame, objects: DataFrame, projects: DataFrame)
     known = rows.select(*per, F.col("relpath").alias("converted_from"))
     orphans = manifest.filter(step & told(F.col("converted_from"))).join(known, [*per, "converted_from"], "left_anti").groupBy(*per).agg(F.count("*").alias("orphans"), F.min("converted_from").alias("orphans_x"))
     channel = F.array_join(F.slice(F.split("relpath", "/"), 1, 2), "/")
-    etag = F.trim(F.lit('"'), F.col("etag"))
+    etag = F.trim(F.col("etag"), F.lit('"'))
     same = extras(manifest.filter(told(etag)).select(*per, channel.alias("_ch"), etag.alias("_tag"), "bytes"), ["_ch", "_tag", "bytes"]).withColumnRenamed("n", "same")
     twice = extras(manifest.filter(step & told(F.col("converted_from")) & told(F.col("source_key"))), ["source_key"]).withColumnRenamed("n", "twice")
     flat = projects.filter("route = '2d'").select("project").distinct().withColumn("_flat", F.lit(True))

@@ -64,6 +64,17 @@ def mode_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return agg.select(*by, F.col("m.v").alias("mode"), (-F.col("m.c")).alias("mode_n"), "variants", "n")
 
 
+def majority_rules(df: DataFrame, by: list[str], value: str, least_n: int, least_share: float) -> DataFrame:
+    """(by, rule, share): the most common value of groups of at least `least_n` rows in which it has the share."""
+    m = mode_of(df, by, value).withColumn("share", F.col("mode_n") / F.col("n"))
+    return m.filter((F.col("n") >= least_n) & (F.col("share") >= least_share)).select(*by, F.col("mode").alias("rule"), "share")
+
+
+def apply_majority(df: DataFrame, rules: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Adds each row's rule (null where its group has none), and whether its own value agrees."""
+    return df.join(rules.select(*by, "rule"), by, "left").withColumn("agrees", F.col("rule") == F.col(value))
+
+
 def islands(df: DataFrame, by: list[str], at: Column, order: list[str], gap: Column | float) -> DataFrame:
     """Numbers runs of rows: a new one where `at` is more than `gap` behind the row before."""
     w = Window.partitionBy(*by).orderBy(*order)

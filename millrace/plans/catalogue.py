@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import q_aggregates, q_delivery, q_grades, q_graph_text_space, q_joins, q_streams  # noqa: F401
+from millrace.plans import q_aggregates, q_delivery, q_grades, q_graph_text_space, q_joins, q_scalars, q_streams  # noqa: F401
 from millrace.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

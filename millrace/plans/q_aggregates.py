@@ -70,8 +70,7 @@ def a6(spark, d):
     SELECT p_brand, p_type AS rule, round(n / total, 4) AS share FROM r WHERE rn = 1 AND total >= 20 AND n / total >= 0.2""",
 )
 def a7(spark, d):
-    m = sample.mode_of(load(spark, d, "part"), ["p_brand"], "p_type").withColumn("share", F.col("mode_n") / F.col("n"))
-    return m.filter("n >= 20 and share >= 0.2").select("p_brand", F.col("mode").alias("rule"), F.round("share", 4).alias("share"))
+    return sample.majority_rules(load(spark, d, "part"), ["p_brand"], "p_type", 20, 0.2).withColumn("share", F.round("share", 4))
 
 
 @query(

@@ -47,16 +47,40 @@ def shared_dir(spark: SparkSession) -> str:
     return there
 
 
+_OWNERS: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def owned(spark: SparkSession):
+    """Removes, at its end, what operators inside have put into the shared folder: write results out inside. Owners may be nested; the innermost removes."""
+    mine: list[str] = []
+    _OWNERS.append(mine)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(mine)
+        for base in mine:
+            _delete(spark, base)
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    with contextlib.suppress(Exception):
+        p = spark._jvm.org.apache.hadoop.fs.Path(at)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Stash:
     """Tables written in the shared folder to cut lineage, so that a lost executor costs no recomputation.
 
     `put` writes and rereads a frame. `drop` deletes tables that nothing still to run needs; what a
-    returned DataFrame reads must stay until its reader is done, and is left in the folder.
+    returned DataFrame reads must stay until its reader is done: owned() removes it then, and without an owner it stays in the folder.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.tables = 0
+        if _OWNERS:
+            _OWNERS[-1].append(self.base)
 
     def path(self) -> str:
         self.tables += 1
@@ -68,13 +92,11 @@ class Stash:
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        plain = lambda path: path.split(":", 1)[-1].lstrip("/")
         for df in frames:
             for top in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-                if top.startswith(self.base.split("://", 1)[-1]) or top.split(":", 1)[-1].lstrip("/").startswith(self.base.split(":", 1)[-1].lstrip("/")):
-                    with contextlib.suppress(Exception):
-                        p = jvm.org.apache.hadoop.fs.Path(top)
-                        p.getFileSystem(conf).delete(p, True)
+                if plain(top).startswith(plain(self.base)):
+                    _delete(self.spark, top)
 
 
 def partitions(spark: SparkSession) -> int:

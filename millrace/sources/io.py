@@ -44,7 +44,7 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """A listing without contents: the content column is pruned from the scan."""
+    """A listing without contents: the content column is pruned from the scan. Empty files are no rows of such a scan."""
     return read_binary(spark, path, glob).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 

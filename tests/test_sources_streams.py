@@ -109,3 +109,41 @@ def test_rules(spark):
     seen = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, tag string")
     now = spark.createDataFrame([("a", "1"), ("b", "3"), ("c", "1")], "k string, tag string")
     assert sorted(r.k for r in streams.changed(now, seen, "k", "tag").collect()) == ["b", "c"]
+
+
+def test_jdbc(spark, tmp_path):
+    """Against the embedded database that Spark brings along."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id int, v string").write.jdbc(url, "t", properties=driver)
+    got = io.read_jdbc(spark, url, {"all": "select * from t", "few": 'select "id" from t where "id" < 3'}, driver)
+    assert got["all"].count() == 20 and sorted(r[0] for r in got["few"].collect()) == [0, 1, 2]
+    parts = io.read_jdbc(spark, url, {"t": "select * from t"}, driver, "id", (0, 20, 4))["t"]
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 20
+    with pytest.raises(PermissionError):
+        io.read_jdbc(spark, url, {"x": "delete from t"}, driver)
+
+
+def test_union_of_frames(spark):
+    a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2, 0.5)], "i int, f double")
+    assert sorted((r.i, r.s, r.f) for r in io.union_all([a, b]).collect()) == [(1, "x", None), (2, None, 0.5)]
+
+
+def test_owned_tables_go(spark):
+    import os
+
+    from millrace.session import Stash, owned
+
+    with owned(spark):
+        stash = Stash(spark, "mine")
+        assert stash.put(spark.range(3)).count() == 3
+        plain = lambda s: s.base.removeprefix("file://")
+        here = plain(stash)
+        assert os.path.isdir(here)
+        with owned(spark):
+            inner = Stash(spark, "inner")
+            inner.put(spark.range(1))
+        assert not os.path.isdir(plain(inner)) and os.path.isdir(here)
+    assert not os.path.isdir(here)
+    free = Stash(spark, "free")
+    assert free.put(spark.range(2)).count() == 2 and os.path.isdir(plain(free))
