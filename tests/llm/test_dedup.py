@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -94,6 +95,18 @@ def test_line_dedup_letters_sieve(spark, tiny):
     assert sorted(((r.doc_id, r.text) for r in L.dedup_lines(tiny(docs)).collect()), key=repr) == brute_lines(docs)
 
 
+def test_line_dedup_clashing_names_and_null_ids(spark):
+    one, two = "a line that is long enough to be judged", "another line of twenty characters or more"
+    rows = [(None, one, "x", 1, 2, True, 3, 4), (None, two + "\n" + one, "x", 1, 2, True, 3, 4), (None, two + "\n" + one, "x", 1, 2, True, 3, 4), (1, one + "!", "x", 1, 2, True, 3, 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _id string, _drops int, _gone int, none boolean, did int, _rest int")
+    out = L.dedup_lines(frame)
+    assert out.columns == ["doc_id", "text", "_id", "_drops", "none", "did", "_rest", "_n_lines", "_gone"]
+    got = out.collect()
+    assert {(r._id, r._drops, r.none, r.did, r._rest) for r in got} == {("x", 1, True, 3, 4)}
+    assert sorted((r.text for r in got), key=repr) == ["", one + "!", two, two]  # equal rows stay equal
+    assert L.dedup_lines_stage(spark, frame, "").columns == frame.columns
+
+
 @pytest.mark.parametrize("ids", [(None, None), (5, 5)])
 def test_line_dedup_keeps_one_of_two_in_the_same_place(spark, tiny, ids):
     lines = ["the same long line about nothing, a", "the same long line about nothing, b"]
@@ -125,9 +138,9 @@ def test_full_filter_changes_nothing(spark, tiny, monkeypatch):
     assert sorted(((r.doc_id, r.text) for r in L.dedup_lines(tiny(docs)).collect()), key=repr) == brute_lines(docs)
 
 
-def brute_classes(docs, least=N.SIMILARITY):
+def brute_classes(docs, least=N.SIMILARITY, weighted=True):
     texts = sorted({t for _, t in docs if t is not None and t.split()})
-    sets = [N.shingle_set(t) for t in texts]
+    sets = [N.shingle_set(t, weighted=weighted) for t in texts]
     up = list(range(len(texts)))
 
     def find(x):
@@ -160,12 +173,33 @@ def near_case(seed, n=60):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("block", [1024, 4])
-def test_near_dedup(spark, tiny, monkeypatch, seed, block):
+@pytest.mark.parametrize(("block", "fan", "weighted"), [(N.BLOCK, N.FAN, True), (300, 3, True), (300, 3, False)])
+def test_near_dedup(spark, tiny, monkeypatch, seed, block, fan, weighted):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "FAN", fan)
     docs = near_case(seed)
-    got = N.near_duplicates(tiny(docs).repartition(3)).collect()
-    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == brute_classes(docs)
+    got = N.near_duplicates(tiny(docs).repartition(3), weighted=weighted).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == brute_classes(docs, weighted=weighted)
+
+
+def test_weights_are_numbers_of_occurrences():
+    """Bags by counts, against the set of numbered occurrences."""
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.choice("ab") for _ in range(rng.randint(5, 40))] for _ in range(2))
+        x, y = (Counter(zip(*(t[i:] for i in range(5)), strict=False)) for t in (a, b))
+        s, t = N.shingle_set(" ".join(a)), N.shingle_set(" ".join(b))
+        assert len(s & t) == (x & y).total() and len(s | t) == (x | y).total()
+
+
+def test_still_apart_keeps_every_pair_that_can_be_similar(spark):
+    rng = random.Random(5)
+    rows = [(g, i, rng.randrange(3) if i else 0, rng.choice((0.01, 0.3, rng.random()))) for g in range(6) for i in range(12)]
+    got = {(r.band, r.node) for r in N.still_apart(spark.createDataFrame(rows, "band int, node int, root int, apart double"), 0.2).collect()}
+    for g, i, r, d in rows:
+        near = [x for x in rows if x[0] == g and x[2] != r and abs(x[3] - d) <= 0.2]
+        assert not near or (g, i) in got
+    assert len(got) < len(rows)
 
 
 def test_near_dedup_empty(spark, tiny):

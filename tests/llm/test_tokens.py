@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from millrace.llm.packing import pack_documents, places, plan
 from millrace.llm.pretokens import PreTokens
 from millrace.llm.token_counts import count_tokens
-from millrace.llm.token_output import best_fit_decreasing, pack_ids, write_shards
+from millrace.llm.token_output import best_fit_decreasing, op4_token_output, pack_ids, read_shards, write_shards
+from millrace.session import Stash
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOK = PreTokens(PATH)
@@ -117,6 +118,24 @@ def test_plan_places_every_piece(histogram):
         assert first[0] == 0 and first == sorted(first) and max(o + n * e for o, e in zip(off, each, strict=True)) <= 64
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=80))
+def test_plan_is_shortest_pack_first(lengths):
+    """Against the plain algorithm, one piece at a time."""
+    packs = []
+    for n in sorted(lengths, reverse=True):
+        if packs and min(packs) + n <= 40:
+            packs[packs.index(min(packs))] += n
+        else:
+            packs.append(n)
+    got = plan({n: lengths.count(n) for n in lengths}, 40)
+    assert sorted(packs) == sorted(sum(n * k for n, k in chain) for count, chain in got for _ in range(count))
+
+
+def test_plan_alternates():
+    assert sorted(sum(n * k for n, k in c) for m, c in plan({60: 1, 58: 1, 10: 4}, 100) for _ in range(m)) == [78, 80]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=60), st.lists(st.integers(1, 31), max_size=5))
 def test_best_fit_decreasing(lengths, free):
@@ -158,14 +177,47 @@ def test_shards(spark, tiny, tmp_path):
     (m,) = manifest
     ids = np.fromfile(tmp_path / "out" / f"{m.name}.ids.bin", "<u2")
     cu = np.fromfile(tmp_path / "out" / f"{m.name}.cu.bin", "<i4")
-    pos = np.fromfile(tmp_path / "out" / f"{m.name}.pos.bin", "<u2")
+    pos = np.fromfile(tmp_path / "out" / f"{m.name}.pos.bin", "<i4")
     assert len(ids) == 2048 * m.n_rows
     total = sum(len(ids_of(t)) + 1 for _, t in EDGE)
-    assert len(pos) == total and (pos == 0).sum() >= len(EDGE)
-    at = n = 0
+    at = n = begin = 0
     while at < len(cu):
         k = cu[at]
         assert cu[at + 1] == 0
+        assert pos[begin] == k - 1 and (pos[begin + 1 : begin + k] == cu[at + 1 : at + k]).all()
         n += cu[at + k]
-        at += k + 1
-    assert n == total
+        at, begin = at + k + 1, begin + k
+    assert n == total == m.n_tokens and begin == len(pos)
+
+
+@pytest.mark.parametrize("file_rows", [1, 3, 8192])
+def test_shards_read_back(spark, tiny, tmp_path, file_rows):
+    packed = Stash(spark, "t").put(pack_ids(tiny(EDGE).repartition(2), PATH))
+    url = f"file://{tmp_path}/out"
+    manifest = Stash(spark, "t").put(write_shards(packed, url, file_rows))
+    row = lambda r: (r.sequence_id, r.n_tokens, bytes(r.ids), tuple(r.cu_seqlens), tuple(r.position_resets), tuple(r.doc_ids), tuple(r.starts), tuple(r.doc_tokens))
+    assert sorted(map(row, read_shards(manifest, url).collect())) == sorted(map(row, packed.collect()))
+    assert max(r.n_rows for r in manifest.collect()) <= file_rows
+    assert read_shards(write_shards(pack_ids(tiny([]), PATH), url), url).count() == 0
+    name = manifest.first()["name"]
+    (tmp_path / "out" / f"{name}.ids.bin").write_bytes(b"spoilt")
+    with pytest.raises(Exception, match="not what the manifest says"):
+        read_shards(manifest, url).count()
+
+
+def test_ids_that_do_not_fit(spark, tiny):
+    with pytest.raises(Exception, match="don't fit"):
+        pack_ids(tiny(EDGE), PATH, dtype="u1").count()
+
+
+def test_op4_whole_table(spark, small):
+    docs = {r.doc_id: [*ids_of(r.text), 1] for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()}
+    got = {}
+    rows = op4_token_output(spark, small).collect()
+    for r in rows:
+        ids = np.frombuffer(bytes(r.ids), "<u2")
+        for doc, start, total, a, b in zip(r.doc_ids, r.starts, r.doc_tokens, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            got.setdefault(doc, []).append((start, ids[a:b].tolist()))
+            assert total == len(docs[doc])
+    assert {i: [x for _, p in sorted(parts) for x in p] for i, parts in got.items()} == docs
+    assert len({r.sequence_id for r in rows}) == len(rows)
