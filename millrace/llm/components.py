@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import Stash
+from millrace.session import Stash, partitions
 
 
-def _least(pairs: DataFrame) -> DataFrame:
+#: Rows of a narrow table for a task, about, and tasks that even a small one is dealt to.
+TASK_ROWS, LEAST_TASKS = 100_000, 8
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """A shuffled table of so many narrow rows in tasks of a fair size, where there are many more shuffle partitions than that."""
+    return df.coalesce(max(LEAST_TASKS, min(partitions(df.sparkSession), -(-rows // TASK_ROWS))))
+
+
+def _least(pairs: DataFrame, rows: int) -> DataFrame:
     """Adds m, the least of a and its neighbours b. An aggregate and a join, so a node with many neighbours can be split."""
-    m = pairs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return pairs.join(m, "a")
+    m = few(pairs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), rows)
+    return few(pairs.join(m, "a"), rows)
 
 
 def components(edges: DataFrame, stash: Stash, rounds: int = 60) -> DataFrame:
@@ -20,15 +29,18 @@ def components(edges: DataFrame, stash: Stash, rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star steps, each written to the shared folder; ends when a round changes nothing.
     """
     now = stash.put(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     seen = mark(now)
     for _ in range(rounds):
+        n = 2 * seen[0]
+        if not n:
+            break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _least(both).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        small = _least(large)
+        large = _least(both, n).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = few(large.filter("a <> b").distinct(), n)
+        small = _least(large, n)
         nxt = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        nxt = stash.put(nxt)
+        nxt = stash.put(few(nxt, n))
         now_mark = mark(nxt)
         stash.drop(now)
         now = nxt

@@ -6,19 +6,23 @@ of them. A text's darts are those within its shingles' weights and below a rank
 K ln K + 2K; each dart falls on one of K coordinates, and the earliest on a coordinate is its value. Two texts agree on a
 coordinate with the probability of their weighted Jaccard similarity. Where a coordinate stays empty the rank limit doubles.
 
+A shingle's weight is the number of its occurrences in the text, so the similarity is that of bags of shingles (with weighted=False, of sets).
+
 Coordinates are banded for candidates, and each link is verified on whole texts, exactly. Copies of a text are one node. In a band's bucket every member is
-verified against the least one; members that still lie in different components of the result are compared pair by
-pair, in blocks. So each two texts that share a band and are similar end in one class, and no task or row count grows
-with the square of a group of near copies.
+verified against the least one, the bucket's centre, which also gives its distance to the centre. One minus the similarity is a metric: two members can only
+be similar if their distances to the centre differ by no more than 1 - SIMILARITY. So of the members that still lie in different components, only those that have
+another component's member at such a distance are compared pair by pair, in blocks; the many copies around a centre and a stranger far from it never meet.
+Each two texts that share a band and are similar end in one class.
 
 Texts that are null or without words are in a class of their own row (class_id is their doc_id). Texts of fewer words than a shingle
 are one shingle. A class id is the least doc_id of its documents; null ids stay rows, and a class of nulls alone has a null id. Repeated rows
-are copies. An empty table gives no rows. Other columns are not read.
+are copies; texts at exactly SIMILARITY are linked. A text of any length counts whole. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.columns import packed, unpacked
-from millrace.llm.components import components, in_blocks
+from millrace.llm.components import HOT, components, few, in_blocks, join_salted
 from millrace.session import Stash
 
 WIDTH, SIMILARITY = 5, 0.8
 #: 20 bands of 3: a pair at similarity 0.8 shares no band with probability 6e-7.
 BANDS, ROWS = 20, 3
-#: Members of a bucket that meet in one block.
-BLOCK = 1024
+#: Shingles, and members, of a bucket that meet in one block, about; members that meet a copy of their centre's text; steps of a distance's histogram.
+BLOCK, MEMBERS, FAN, STEPS = 400_000, 512, 2048, 4
+#: Bins of a text's shingles by hash, a power of two: they rule out pairs without their sets.
+SIEVE = 128
 
 #: Darts, about, that are thrown at once: short texts take as many as long ones.
 CHUNK = 300_000
@@ -168,9 +174,18 @@ class Shingles:
 
 
 def _sign(bands, rows, width, weighted):
+    """Key, bands and number of shingles; of copies that a task meets, the first."""
+
     def run(batches):
-        made = Shingles(width)
+        made, seen = Shingles(width), set()
         for b in batches:
+            fresh = []
+            for i, k in enumerate(b.column("key").to_pylist()):
+                if k not in seen:
+                    seen.add(k), fresh.append(i)
+            if len(seen) > 300_000:
+                seen.clear()
+            b = b.take(pa.array(fresh, pa.int64()))
             keys, texts = b.column("key").to_pylist(), b.column("text").to_pylist()
             at = 0
             while at < len(texts):
@@ -184,17 +199,23 @@ def _sign(bands, rows, width, weighted):
                     h, w, d = made.of([part[i] for i in own], weighted)
                     got = band_keys(dart_signatures(h, w, d, len(own), bands * rows), bands, rows)
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(0, got.size + 1, bands), pa.int32()), pa.array(got.reshape(-1)))
-                    yield pa.RecordBatch.from_arrays([pa.array([keys[at + i] for i in own], pa.binary()), flat], ["key", "bands"])
+                    total = np.bincount(d, weights=w, minlength=len(own)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([keys[at + i] for i in own], pa.binary()), flat, pa.array(total)], ["key", "bands", "size"])
                 at = to
 
     return run
 
 
-def shingle_set(text: str, width: int = WIDTH) -> frozenset:
+def shingle_set(text: str, width: int = WIDTH, weighted: bool = True) -> frozenset:
+    """A text's shingles; with weights, the further occurrences of one are elements of their own, so that a bag's similarity is this set's."""
     words = text.split()
     if len(words) < width:
         return frozenset([tuple(words)])
-    return frozenset(zip(*(words[i:] for i in range(width)), strict=False))
+    grams = list(zip(*(words[i:] for i in range(width)), strict=False))
+    out = frozenset(grams)
+    if weighted and len(out) < len(grams):
+        out |= {(g, i) for g, n in Counter(grams).items() for i in range(1, n)}
+    return out
 
 
 def similar(a: frozenset, b: frozenset, least: float) -> bool:
@@ -204,25 +225,34 @@ def similar(a: frozenset, b: frozenset, least: float) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
-def _verify(width, least):
+def _verify(width, least, weighted):
+    """Of each pair, whether it is similar, and its distance."""
+
     def run(batches):
-        held, mine = None, None
+        centres: dict[int, frozenset] = {}
         for b in batches:
-            a, c = [], []
-            for x, y, tx, ty in zip(*(b.column(n).to_pylist() for n in ("a", "b", "ta", "tb")), strict=True):
-                if x != held:
-                    held, mine = x, shingle_set(tx, width)
-                if similar(mine, shingle_set(ty, width), least):
-                    a.append(x), c.append(y)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
+            near, apart = [], []
+            for x, tx, ty in zip(*(b.column(n).to_pylist() for n in ("a", "ta", "tb")), strict=True):
+                mine = centres.get(x)
+                if mine is None:
+                    if len(centres) > 7:
+                        centres.clear()
+                    mine = centres[x] = shingle_set(tx, width, weighted)
+                its = shingle_set(ty, width, weighted)
+                both = len(mine & its)
+                union = len(mine) + len(its) - both
+                near.append(both >= least * union), apart.append(1 - both / union)
+            yield pa.RecordBatch.from_pydict({"a": b.column("a"), "b": b.column("b"), "near": pa.array(near, pa.bool_()), "apart": pa.array(apart, pa.float64())})
 
     return run
 
 
-def _compare(width, least):
+def _compare(width, least, weighted):
     """Rows sorted by band and pair of blocks. Emits links between components; a group's components are united as it goes."""
 
-    def links(rows):
+    def links(band, rows):
+        # rows: own, root, node, text, apart, bands, lo, hi. Only members of different components meet, and in the first bucket that they share: another
+        # bucket that leaves one of them out has shown by distances that they are not similar.
         up = {r[1]: r[1] for r in rows}
 
         def find(x):
@@ -230,63 +260,107 @@ def _compare(width, least):
                 up[x] = x = up[up[x]]
             return x
 
-        lo, hi = rows[0][4], rows[0][5]
-        sets = sorted(((len(s := shingle_set(r[3], width)), r[2], r[1], r[0], s) for r in rows), key=lambda e: e[:2])
-        for i, (n, _, root, own, s) in enumerate(sets):
-            for m, _, other, its, t in sets[i + 1 :]:
-                if n < least * m:
-                    break
-                if (own != its or lo == hi) and find(root) != find(other) and similar(s, t, least):
-                    up[find(root)] = find(other)
-                    yield root, other
+        same, reach = rows[0][6] == rows[0][7], 1 - least + 1e-9
+        sets = [shingle_set(r[3], width, weighted) for r in rows]
+        size = np.array([len(x) for x in sets])
+        order = np.lexsort((np.array([r[2] for r in rows]), size))
+        sets, size = [sets[i] for i in order], size[order]
+        own, root = (np.array([rows[i][k] for i in order]) for k in (0, 1))
+        apart, keys = np.array([rows[i][4] for i in order]), np.array([rows[i][5] for i in order])
+        here = int(np.flatnonzero(keys[0] == band)[0])
+        # What two texts share is at most what their counts by a hash's bits share.
+        bins = np.stack([np.bincount(np.fromiter((hash(g) & SIEVE - 1 for g in x), np.int64, len(x)), minlength=SIEVE) for x in sets]).astype(np.int32)
+        for i in range(len(sets) - 1):
+            at = np.arange(i + 1, np.searchsorted(size, size[i] / least + 1e-6, side="right"))
+            at = at[(root[at] != root[i]) & (np.abs(apart[at] - apart[i]) <= reach)]
+            if not same:
+                at = at[own[at] != own[i]]
+            at = at[(keys[at] == keys[i]).argmax(1) == here]
+            if len(at):
+                most = np.minimum(bins[at], bins[i]).sum(1)
+                at = at[most + 1e-6 >= least * (size[at] + size[i] - most)]
+            for k in at:
+                x, y = int(root[i]), int(root[k])
+                if find(x) != find(y) and similar(sets[i], sets[k], least):
+                    up[find(x)] = find(y)
+                    yield x, y
 
     def run(batches):
         group, rows = None, []
         for b in batches:
             out = []
-            for r in zip(*(b.column(n).to_pylist() for n in ("band", "own", "root", "node", "text", "lo", "hi")), strict=True):
-                if (r[0], r[5], r[6]) != group:
+            for r in zip(*(b.column(n).to_pylist() for n in ("band", "own", "root", "node", "text", "apart", "bands", "lo", "hi")), strict=True):
+                if (r[0], r[7], r[8]) != group:
                     if rows:
-                        out += links(rows)
-                    group, rows = (r[0], r[5], r[6]), []
+                        out += links(group[0], rows)
+                    group, rows = (r[0], r[7], r[8]), []
                 rows.append(r[1:])
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
         if rows:
-            out = list(links(rows))
+            out = list(links(group[0], rows))
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return run
 
 
-def classes(docs: DataFrame, stash: Stash, width: int = WIDTH, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(key, class_key, class_id) of each distinct text with words: md5 as key, the class's own key, and its least doc_id."""
+def still_apart(placed: DataFrame, width: float, size: int) -> DataFrame:
+    """The rows (band, node, root, apart) of members with one of another root in their bucket, whose distance differs by `width` at most.
+
+    By a histogram of distances per bucket, with the least and the greatest root of each bin: a bucket has a bounded number of bins, whatever its size. size: about how many rows there are.
+    """
+    step = width / STEPS
+    rows = placed.withColumn("bin", F.floor(F.col("apart") / step).cast("int"))
+    bins = few(rows.groupBy("band", "bin").agg(F.min("root").alias("x"), F.max("root").alias("y")), size)
+    open_ = bins.groupBy("band").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y").select("band")
+    around = bins.join(open_, "band").select("band", F.explode(F.sequence(F.col("bin") - STEPS - 1, F.col("bin") + STEPS + 1)).alias("bin"), "x", "y")
+    around = around.groupBy("band", "bin").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y").select("band", "bin")
+    return rows.join(around, ["band", "bin"]).drop("bin")
+
+
+def classes(docs: DataFrame, stash: Stash, width: int = WIDTH, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = True, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(key, class_key, class_id, first_id, copies) of each distinct text with words: md5 as key, the class's own key, its least doc_id, the text's, and its rows."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_col)).alias("key"), F.col(text_col).alias("text")).filter("text is not null")
-    signed = source.select("key", "text").mapInArrow(_sign(bands, rows, width, weighted), "key binary, bands array<long>")
+    signed = source.select("key", "text").mapInArrow(_sign(bands, rows, width, weighted), "key binary, bands array<long>, size long")
     nodes = stash.put(signed.dropDuplicates(["key"]).withColumn("node", F.monotonically_increasing_id()))
+    n = nodes.count()
+    narrow = lambda df, rows=n * bands: few(df, rows)
+    firsts = stash.put(narrow(source.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), n))
     flat = nodes.select(F.explode("bands").alias("band"), "node")
-    least = flat.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    shared = stash.put(flat.join(least, "band"))
-    stars = shared.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    stars = stash.put(stars)
-    # Texts of the nodes that have a candidate, one for each.
-    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "key"), "node")
-    texts = stash.put(source.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).select("node", "text"))
-    pairs = stars.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    linked = stash.put(pairs.select("a", "b", "ta", "tb").mapInArrow(_verify(width, similarity), "a long, b long"))
+    least = stash.put(narrow(flat.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "a")))  # written, so that the join below may split a hot band
+    shared = stash.put(narrow(flat.join(least, "band")))
+    stars = stash.put(narrow(shared.filter("node <> a").select("a", F.col("node").alias("b")).distinct()))
+    # Texts of the nodes that have a candidate, one for each: by the least id's row, so that copies don't gather at their key.
+    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    wanted = stash.put(narrow(narrow(wanted, n).join(nodes.select("node", "key"), "node").join(firsts, "key"), n))
+    at = lambda c: [F.coalesce(F.col(c), F.lit(0)).alias("_id"), F.col(c).isNull().alias("_none")]
+    mine = source.select("key", "text", *at("doc_id")).join(wanted.select("key", "node", *at("first_id")), ["key", "_id", "_none"])
+    texts = stash.put(mine.dropDuplicates(["key", "_id", "_none"]).select("node", "text"))
+    # A centre with many members gives its text to several tasks.
+    fan = stash.put(narrow(stars.groupBy("a").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan")), n))
+    salted = stars.join(fan, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int").alias("salt"))
+    centres = texts.withColumnsRenamed({"node": "a", "text": "ta"}).join(fan, "a").select("a", "ta", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"))
+    pairs = salted.join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b").join(centres, ["a", "salt"])
+    judged = stash.put(pairs.select("a", "b", "ta", "tb").mapInArrow(_verify(width, similarity, weighted), "a long, b long, near boolean, apart double"))
+    linked = judged.filter("near").select("a", "b")
     roots = components(linked, stash)
-    # Buckets whose members are not yet in one component.
-    placed = shared.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    placed = stash.put(placed)
-    open_ = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).filter("x <> y").select("band", "n")
-    meet = in_blocks(placed.join(open_, "band"), "band", "node", "n", BLOCK).join(texts, "node")
-    meet = meet.select("band", "own", "root", "node", "text", "lo", "hi").repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
-    more = stash.put(meet.mapInArrow(_compare(width, similarity), "a long, b long"))
-    joined = components(linked.unionByName(more), stash)
-    firsts = source.groupBy("key").agg(F.min("doc_id").alias("first_id"))
+    placed = shared.join(judged.select("a", F.col("b").alias("node"), "apart"), ["a", "node"], "left").join(roots, "node", "left")
+    placed = stash.put(narrow(placed.select("band", "node", F.coalesce("root", "node").alias("root"), F.coalesce("apart", F.lit(0.0)).alias("apart"))))
+    rest = stash.put(narrow(still_apart(placed, 1 - similarity, n * bands).join(nodes.select("node", "size", "bands"), "node")))
+    if rest.isEmpty():
+        joined = roots
+    else:
+        shares = F.greatest(F.sum("size") / BLOCK, F.count("*") / MEMBERS)
+        sizes = stash.put(narrow(rest.groupBy("band").agg(shares.alias("n"))))
+        meet = in_blocks(rest.drop("size").join(sizes, "band"), "band", "node", "n", 1).join(texts, "node")
+        meet = meet.select("band", "own", "root", "node", "text", "apart", "bands", "lo", "hi").repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+        more = components(stash.put(meet.mapInArrow(_compare(width, similarity, weighted), "a long, b long")), stash).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        every = roots.unionByName(more.select(F.col("root").alias("node"), "root")).distinct()  # a text without a link so far is its own root
+        joined = stash.put(narrow(narrow(every, n).join(more, "root", "left").groupBy("node").agg(F.min(F.coalesce("top", "root")).alias("root")), n))
     known = nodes.select("key", "node").join(joined, "node", "left").select("key", F.coalesce("root", "node").alias("class_key")).join(firsts, "key")
-    known = stash.put(known)
-    heads = known.groupBy("class_key").agg(F.min("first_id").alias("class_id"))
-    return known.join(heads, "class_key").select("key", "class_key", "class_id", "first_id")
+    known = stash.put(narrow(known, n))
+    stash.drop(nodes, firsts, least, shared, stars, wanted, fan, texts, judged, placed, rest)
+    heads = narrow(known.groupBy("class_key").agg(F.min("first_id").alias("class_id")), n)
+    return stash.put(narrow(known.join(heads, "class_key").select("key", "class_key", "class_id", "first_id", "copies"), n))
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
@@ -294,7 +368,11 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     stash = Stash(docs.sparkSession, "near-dedup")
     found = classes(docs, stash, **how)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("key"))
-    return rows.join(found.select("key", "class_key", "class_id"), "key", "left").select("doc_id", F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    total = found.agg(F.sum("copies")).first()[0] or 0
+    hot = found.filter(F.col("copies") * HOT > total).select("key")
+    some = join_salted(rows.filter("key is not null"), found.select("key", "class_key", "class_id"), "key", hot, ["doc_id"], "left")
+    some = some.select("doc_id", F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    return some.unionByName(rows.filter("key is null").select("doc_id", F.col("doc_id").alias("class_id")))  # nulls meet nothing
 
 
 def op3_near_dedup(spark, sf_dir):
@@ -302,14 +380,18 @@ def op3_near_dedup(spark, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """Pipeline stage: of each class the document with the least doc_id stays (of equal ones, one row); texts without words stay."""
+    """Pipeline stage: of each class the document with the least doc_id stays (of equal ones, one row); texts that are null or without words stay.
+
+    A class without ids keeps the text with the least key. An empty table gives no rows; texts of any length are compared whole; other columns pass through, whatever their names.
+    """
     stash = Stash(spark, "near-dedup")
     found = classes(docs, stash)
-    # The text that holds the class's least id; between equals, the least key.
-    chosen = stash.put(found.groupBy("class_key").agg(F.min(F.struct(F.col("first_id").isNull().alias("x"), "first_id", "key")).alias("m")).select(F.col("m.key").alias("_key")))
-    keyed = packed(docs).withColumn("_key", F.unhex(F.md5("text")))
+    # The text that holds the class's least id; between equals, the least key. Rows meet it by key and id, so copies don't gather at their key.
+    top = found.groupBy("class_key").agg(F.min(F.struct(F.col("first_id").isNull().alias("_none"), F.coalesce("first_id", F.lit(0)).alias("_id"), "key")).alias("m"))
+    chosen = stash.put(top.select(F.col("m.key").alias("_key"), "m._id", "m._none"))
+    keyed = packed(docs).withColumns({"_key": F.unhex(F.md5("text")), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull()})
     wordless = F.col("text").isNull() | (F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+", "") == "")
-    kept = keyed.filter(~wordless).join(chosen, "_key")
-    first = kept.groupBy("_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_x"), "doc_id", "_rest", "text")).alias("m"))
-    rows = first.select("m.doc_id", "m.text", "m._rest").unionByName(keyed.filter(wordless).drop("_key"))
+    kept = keyed.filter(~wordless).join(chosen, ["_key", "_id", "_none"])
+    first = kept.groupBy("_key", "_id", "_none").agg(F.min(F.struct("doc_id", "_rest", "text")).alias("m"))
+    rows = first.select("m.doc_id", "m.text", "m._rest").unionByName(keyed.filter(wordless).select("doc_id", "text", "_rest"))
     return unpacked(rows, docs.columns)

@@ -177,6 +177,7 @@ def near_case(seed, n=60):
 def test_near_dedup(spark, tiny, monkeypatch, seed, block, fan, weighted):
     monkeypatch.setattr(N, "BLOCK", block)
     monkeypatch.setattr(N, "FAN", fan)
+    monkeypatch.setattr(N, "MEMBERS", 512 if block == N.BLOCK or weighted else 3)
     docs = near_case(seed)
     got = N.near_duplicates(tiny(docs).repartition(3), weighted=weighted).collect()
     assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == brute_classes(docs, weighted=weighted)
@@ -195,7 +196,7 @@ def test_weights_are_numbers_of_occurrences():
 def test_still_apart_keeps_every_pair_that_can_be_similar(spark):
     rng = random.Random(5)
     rows = [(g, i, rng.randrange(3) if i else 0, rng.choice((0.01, 0.3, rng.random()))) for g in range(6) for i in range(12)]
-    got = {(r.band, r.node) for r in N.still_apart(spark.createDataFrame(rows, "band int, node int, root int, apart double"), 0.2).collect()}
+    got = {(r.band, r.node) for r in N.still_apart(spark.createDataFrame(rows, "band int, node int, root int, apart double"), 0.2, len(rows)).collect()}
     for g, i, r, d in rows:
         near = [x for x in rows if x[0] == g and x[2] != r and abs(x[3] - d) <= 0.2]
         assert not near or (g, i) in got
