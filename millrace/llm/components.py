@@ -1,4 +1,4 @@
-"""Connected components of an edge table, groups dealt in blocks, and joins with hot keys."""
+"""Connected components of an edge table, groups dealt in blocks, joins with hot keys, and a bounded filter before a join."""
 
 from __future__ import annotations
 
@@ -80,3 +80,18 @@ def join_salted(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spr
     each = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     b = right.join(mark, F.col(key) == F.col("_k"), "left").withColumn("_salt", F.explode(each)).drop("_hot", "_k")
     return a.join(b, [key, "_salt"], how).drop("_salt")
+
+
+#: Bits of a filter before a join, at most: half a million rows of 64 are broadcast. A full filter lets more rows pass and changes no result.
+FILTER_BITS = 1 << 25
+
+
+def sieved(left: DataFrame, right: DataFrame, keys: list[str], bits: int | None = None) -> DataFrame:
+    """The rows of `left` that can have a partner in `right`: all that have one, and a few others. 16 bits for each row of `right`, up to `bits`."""
+    size = 1 << min((bits or FILTER_BITS).bit_length() - 1, max(10, (16 * right.count()).bit_length()))
+    at = F.xxhash64(*keys).bitwiseAND(F.lit(size - 1))
+    bit = F.expr("cast(_at & 63 as int)")
+    words = right.select(at.alias("_at")).groupBy(F.shiftrightunsigned("_at", 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    marked = left.withColumn("_at", at)
+    meets = (F.shiftrightunsigned("_at", 6) == F.col("_word")) & (F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1)
+    return marked.join(F.broadcast(words), meets, "left_semi").drop("_at")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.columns import packed, unpacked
-from millrace.llm.components import HOT, components, few, in_blocks, join_salted
+from millrace.llm.components import HOT, components, few, in_blocks, join_salted, sieved
 from millrace.session import Stash
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -42,8 +42,8 @@ BLOCK, MEMBERS, FAN, STEPS = 400_000, 512, 2048, 4
 #: Bins of a text's shingles by hash, a power of two: they rule out pairs without their sets.
 SIEVE = 128
 
-#: Darts, about, that are thrown at once: short texts take as many as long ones.
-CHUNK = 300_000
+#: Darts, about, that are thrown at once: short texts take as many as long ones. Words, and keys, that a task remembers; rows that it takes from Arrow at once.
+CHUNK, KNOWN, SLICE = 300_000, 100_000, 500
 
 _ONE = np.uint64(1)
 
@@ -142,7 +142,7 @@ class Shingles:
     def of(self, texts: list[list[str]], weighted: bool = False):
         """(element, weight, text) of the distinct shingles of word lists that have a word."""
         order = self.order
-        if len(order) > 300_000:
+        if len(order) > KNOWN:
             order.clear()
         ids, known, fresh = [], len(order), []
         for words in texts:
@@ -173,17 +173,24 @@ class Shingles:
         return key[new], w, d[new]
 
 
+def _slices(batches):
+    """Arrow batches in parts of SLICE rows, as Python's values take many times the bytes of a batch."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def _sign(bands, rows, width, weighted):
     """Key, bands and number of shingles; of copies that a task meets, the first."""
 
     def run(batches):
         made, seen = Shingles(width), set()
-        for b in batches:
+        for b in _slices(batches):
             fresh = []
             for i, k in enumerate(b.column("key").to_pylist()):
                 if k not in seen:
                     seen.add(k), fresh.append(i)
-            if len(seen) > 300_000:
+            if len(seen) > KNOWN:
                 seen.clear()
             b = b.take(pa.array(fresh, pa.int64()))
             keys, texts = b.column("key").to_pylist(), b.column("text").to_pylist()
@@ -225,12 +232,43 @@ def similar(a: frozenset, b: frozenset, least: float) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
+def shingle_ids(texts: list[str], width: int = WIDTH, weighted: bool = True) -> list[np.ndarray]:
+    """What shingle_set() has of each text, as numbers that are equal in these texts where its elements are: exact, and some bytes a shingle."""
+    order: dict[str, int] = {}
+    each = []
+    for t in texts:
+        words = t.split()
+        # Shorter texts are one shingle; 0 is no word's number.
+        each.append(np.array([order.setdefault(w, len(order) + 1) for w in words] + [0] * (width - len(words)), np.int64))
+    x, size = np.concatenate(each), np.array([len(w) for w in each])
+    doc, n = np.repeat(np.arange(len(texts)), size), len(order) + 1
+    at = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size)
+    start = np.flatnonzero(at <= np.repeat(size, size) - width)
+    key, doc, top = x[start], doc[start], n
+    for i in range(1, width):
+        if top * n >= 2**62:  # rank what has been joined so far
+            key = np.unique(key, return_inverse=True)[1]
+            top = int(key.max()) + 1
+        key = key * n + x[start + i]
+        top *= n
+    key = np.unique(key, return_inverse=True)[1]
+    by = np.lexsort((key, doc))
+    key, doc = key[by], doc[by]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+    if weighted:
+        again = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
+        key = np.unique(key * (int(again.max()) + 1) + again, return_inverse=True)[1]
+    else:
+        key, doc = key[first], doc[first]
+    return np.split(key.astype(np.int32), np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1])
+
+
 def _verify(width, least, weighted):
     """Of each pair, whether it is similar, and its distance."""
 
     def run(batches):
         centres: dict[int, frozenset] = {}
-        for b in batches:
+        for b in _slices(batches):
             near, apart = [], []
             for x, tx, ty in zip(*(b.column(n).to_pylist() for n in ("a", "ta", "tb")), strict=True):
                 mine = centres.get(x)
@@ -261,15 +299,16 @@ def _compare(width, least, weighted):
             return x
 
         same, reach = rows[0][6] == rows[0][7], 1 - least + 1e-9
-        sets = [shingle_set(r[3], width, weighted) for r in rows]
+        sets = shingle_ids([r[3] for r in rows], width, weighted)
         size = np.array([len(x) for x in sets])
         order = np.lexsort((np.array([r[2] for r in rows]), size))
         sets, size = [sets[i] for i in order], size[order]
+        mine = np.zeros(1 + max(int(x.max()) for x in sets), bool)
         own, root = (np.array([rows[i][k] for i in order]) for k in (0, 1))
         apart, keys = np.array([rows[i][4] for i in order]), np.array([rows[i][5] for i in order])
         here = int(np.flatnonzero(keys[0] == band)[0])
-        # What two texts share is at most what their counts by a hash's bits share.
-        bins = np.stack([np.bincount(np.fromiter((hash(g) & SIEVE - 1 for g in x), np.int64, len(x)), minlength=SIEVE) for x in sets]).astype(np.int32)
+        # What two texts share is at most what their counts by a number's low bits share.
+        bins = np.stack([np.bincount(x & SIEVE - 1, minlength=SIEVE) for x in sets]).astype(np.int32)
         for i in range(len(sets) - 1):
             at = np.arange(i + 1, np.searchsorted(size, size[i] / least + 1e-6, side="right"))
             at = at[(root[at] != root[i]) & (np.abs(apart[at] - apart[i]) <= reach)]
@@ -279,15 +318,20 @@ def _compare(width, least, weighted):
             if len(at):
                 most = np.minimum(bins[at], bins[i]).sum(1)
                 at = at[most + 1e-6 >= least * (size[at] + size[i] - most)]
+            mine[sets[i]] = True
             for k in at:
                 x, y = int(root[i]), int(root[k])
-                if find(x) != find(y) and similar(sets[i], sets[k], least):
+                if find(x) == find(y):
+                    continue
+                both = int(mine[sets[k]].sum())
+                if both >= least * (int(size[i]) + int(size[k]) - both):
                     up[find(x)] = find(y)
                     yield x, y
+            mine[sets[i]] = False
 
     def run(batches):
         group, rows = None, []
-        for b in batches:
+        for b in _slices(batches):
             out = []
             for r in zip(*(b.column(n).to_pylist() for n in ("band", "own", "root", "node", "text", "apart", "bands", "lo", "hi")), strict=True):
                 if (r[0], r[7], r[8]) != group:
@@ -331,9 +375,11 @@ def classes(docs: DataFrame, stash: Stash, width: int = WIDTH, similarity: float
     stars = stash.put(narrow(shared.filter("node <> a").select("a", F.col("node").alias("b")).distinct()))
     # Texts of the nodes that have a candidate, one for each: by the least id's row, so that copies don't gather at their key.
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    wanted = stash.put(narrow(narrow(wanted, n).join(nodes.select("node", "key"), "node").join(firsts, "key"), n))
     at = lambda c: [F.coalesce(F.col(c), F.lit(0)).alias("_id"), F.col(c).isNull().alias("_none")]
-    mine = source.select("key", "text", *at("doc_id")).join(wanted.select("key", "node", *at("first_id")), ["key", "_id", "_none"])
+    wanted = narrow(narrow(wanted, n).join(nodes.select("node", "key"), "node").join(firsts, "key"), n)
+    wanted = stash.put(wanted.select("key", "node", *at("first_id")))
+    # Few texts have a candidate, so the others are left out before the shuffle; the same plan at any size.
+    mine = sieved(source.select("key", "text", *at("doc_id")), wanted, ["key", "_id", "_none"]).join(wanted.hint("merge"), ["key", "_id", "_none"])
     texts = stash.put(mine.dropDuplicates(["key", "_id", "_none"]).select("node", "text"))
     # A centre with many members gives its text to several tasks.
     fan = stash.put(narrow(stars.groupBy("a").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan")), n))

@@ -7,7 +7,7 @@ import pytest
 
 from millrace.llm import line_dedup as L
 from millrace.llm import near_dedup as N
-from millrace.llm.components import components, in_blocks
+from millrace.llm.components import components, in_blocks, sieved
 from millrace.session import Stash
 
 
@@ -193,6 +193,62 @@ def test_weights_are_numbers_of_occurrences():
         assert len(s & t) == (x & y).total() and len(s | t) == (x | y).total()
 
 
+def test_shingle_ids_are_the_sets():
+    """The numbers that a block's texts get say what their shingles say, in a small part of the memory."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    for weighted in (True, False):
+        texts = [" ".join(rng.choice("abc") for _ in range(rng.choice((1, 2, 4, 5, 6, 30, 200)))) for _ in range(60)]
+        sets, ids = [N.shingle_set(t, weighted=weighted) for t in texts], N.shingle_ids(texts, weighted=weighted)
+        assert [len(x) for x in sets] == [len(set(x.tolist())) for x in ids] == [len(x) for x in ids]
+        for i, j in itertools.combinations(range(len(texts)), 2):
+            assert len(sets[i] & sets[j]) == len(set(ids[i].tolist()) & set(ids[j].tolist()))
+    words = [str(i) for i in range(200_000)]  # numbers of five such words don't fit 64 bits: they are ranked on the way
+    texts = [" ".join(rng.choice(words) for _ in range(2000)) for _ in range(100)]
+    ids = N.shingle_ids([*texts, texts[0]])
+    assert (ids[0] == ids[-1]).all() and len(set(np.concatenate(ids[:-1]).tolist())) == 100 * 1996
+    most = []
+    for made in (lambda: N.shingle_ids(texts), lambda: [N.shingle_set(t) for t in texts]):
+        tracemalloc.start()
+        _held = made()
+        most.append(sum(x.nbytes for x in _held) if isinstance(_held[0], np.ndarray) else tracemalloc.get_traced_memory()[0])
+        tracemalloc.stop()
+    assert most[0] * 10 < most[1]
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 25])
+def test_sieved_keeps_all_partners(spark, bits):
+    left = spark.range(20_000).selectExpr("id", "if(id % 7 = 0, null, cast(id as string)) s")
+    right = spark.range(0, 20_000, 40).selectExpr("id", "if(id % 7 = 0, null, cast(id as string)) s")
+    got = [r.id for r in sieved(left, right, ["id", "s"], bits).collect()]
+    assert len(got) == len(set(got)) and {r.id for r in right.collect()} <= set(got)
+    assert len(got) < (10_000 if bits == 1 << 10 else 3_000)
+    assert sieved(left, right.limit(0), ["id"]).count() == 0
+
+
+def test_texts_without_candidates_are_not_shuffled(spark, tiny):
+    """Of whole texts, only those with a candidate go through a shuffle, also where the wanted keys are too many for a broadcast."""
+    rng = random.Random(1)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(3000)) for _ in range(60)]
+    frame = tiny(list(enumerate([*texts, texts[0] + " x"])))
+    context, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+
+    def shuffled():
+        context.listenerBus().waitUntilEmpty(30_000)
+        none = gateway.jvm.java.util.ArrayList()
+        stages = context.statusStore().stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled()
+        assert sum(r.class_id != r.doc_id for r in N.near_duplicates(frame).collect()) == 1
+        assert shuffled() - before < sum(map(len, texts)) / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_still_apart_keeps_every_pair_that_can_be_similar(spark):
     rng = random.Random(5)
     rows = [(g, i, rng.randrange(3) if i else 0, rng.choice((0.01, 0.3, rng.random()))) for g in range(6) for i in range(12)]
